@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from veilspark.llm import exact_dedup, sharding
+from veilspark.llm import bpe, exact_dedup, mixing, sharding, token_files
 
 QUERIES = {
+    "op1_mixing": mixing.query,
     "op2_sharding": sharding.query,
+    "op5_bpe": bpe.query,
+    "op8_token_files": token_files.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
-ORACLE_SQL = {"op10_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
