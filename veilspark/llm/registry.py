@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from veilspark.llm import bpe, exact_dedup, mixing, sharding, token_files
+from veilspark.llm import bpe, exact_dedup, language_id, mixing, quality, sharding, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_sharding": sharding.query,
+    "op4_language_id": language_id.query,
     "op5_bpe": bpe.query,
+    "op6_toxicity": toxicity.query,
+    "op7_quality": quality.query,
     "op8_token_files": token_files.query,
     "op10_exact_dedup": exact_dedup.query,
 }
