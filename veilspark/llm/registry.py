@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilspark.llm import bpe, exact_dedup, language_id, mixing, quality, sharding, token_files, toxicity
+from veilspark.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, quality, sharding, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_toxicity": toxicity.query,
     "op7_quality": quality.query,
     "op8_token_files": token_files.query,
+    "op9_jaccard_join": jaccard_join.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
