@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from veilspark.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, quality, sharding, token_files, toxicity
+from veilspark.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, quality, sharding, suffix_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_sharding": sharding.query,
+    "op3_suffix_dedup": suffix_dedup.query,
     "op4_language_id": language_id.query,
     "op5_bpe": bpe.query,
     "op6_toxicity": toxicity.query,
