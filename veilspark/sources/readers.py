@@ -37,10 +37,10 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def lenient_letters(spark: SparkSession, path: str) -> DataFrame:
     """(file, text): a file's rows, or, if one of its lines is no JSON object, its whole text as one row."""
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
     parsed = F.transform(lines, lambda x: F.from_json(x, "text string"))
-    good = F.forall(lines, lambda x: F.get_json_object(x, "$").startswith("{"))
+    good = F.forall(lines, lambda x: F.coalesce(F.get_json_object(x, "$").startswith("{"), F.lit(False)))
     texts = F.when(good, F.transform(parsed, lambda p: p["text"])).otherwise(F.array("value"))
     return files.select("file", F.explode(texts).alias("text"))
 
