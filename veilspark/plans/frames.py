@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read from a reliable checkpoint: computed once, and safe when an executor is lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, read from a table in the shared folder: computed once, and safe when an executor is lost.
+
+    Unlike a checkpointed plan, a table brings no estimates and constraints of what made it; in loops
+    those multiply from round to round until planning takes longer than running.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
