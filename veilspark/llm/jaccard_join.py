@@ -8,9 +8,9 @@ the number of candidates its prefix would meet: the more, the longer the prefix
 elements are needed before sets are compared; of a pair, the smaller l counts.
 
 Rows with the same words are one vertex. Few of an element's documents: they are compared pairwise.
-Many: they are compared with one of them, found links are contracted, and only documents of
-different components go on, so a group of near copies costs in proportion to its size. Rounds go on
-until all pairs left are few enough to be compared; no candidate is dropped.
+Many: they are compared with one of them, and found links are contracted, so a group of near copies
+costs in proportion to its size. Where documents of different components are left, they are compared
+in blocks by matrix products, so no row is made for a pair. No candidate is dropped.
 
 Defined cases: texts that are null or without words have an empty set, n_shingles 0, and link with
 nothing, not even each other; fewer words than n are one element; null ids are a vertex each of no
@@ -19,8 +19,10 @@ links, named null; rows that repeat an id are one vertex with the links of all t
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,24 +31,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.llm import packets
+from veilspark.llm.arrow import small_batches
 from veilspark.operators.graph import connected_components
 from veilspark.plans.frames import cut, read_table
 
 WORDS, PERCENT = 3, 90
 SALTS = 16
-#: Documents of an element that are compared pairwise, and rounds before all that is left is.
-FEW, ROUNDS = 16, 12
+#: Documents of an element that are compared pairwise; documents of a block, and elements multiplied at once.
+FEW, BLOCK, WIDTH = 64, 256, 16_384
 #: A longer prefix for each factor of 4 of candidates beyond this number.
 CHEAP, LONGEST = 16, 4
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
+_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def same_words(text: Column) -> Column:
-    """A digest equal for texts of the same folded words; null for texts without words."""
-    folded = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    joined = F.regexp_replace(F.regexp_replace(folded, r"[\x20\x09-\x0D]+", " "), "^ | $", "")
-    return F.when(joined != "", F.sha2(F.encode(joined, "UTF-8"), 256))
+def same_words(docs: DataFrame) -> DataFrame:
+    """(id, digest) of documents (id, text): digests are equal for the same folded words, null without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for text in batch.column(1):
+                words = (text.as_py() or "").encode().translate(_FOLD).split()
+                digests.append(hashlib.sha256(b" ".join(words)).hexdigest() if words else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], ["id", "digest"])
+
+    return small_batches(docs).mapInArrow(run, "id bigint, digest string")
 
 
 def shingles(texts: list[str], n: int) -> list[np.ndarray]:
@@ -150,31 +159,94 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = pairs.where(_fits(percent) & (F.col("x") < F.col("y"))).select("x", "y").distinct()
     found = cut(_verified(pairs, known, percent))
     components = connected_components(found, "x", "y")
-    many = postings.where(~few).drop("docs")
-    last = many.select("element", F.lit(None).cast("long").alias("leader")).limit(0)
-    for number in itertools.count():
-        labels = components.select(F.col("vertex").alias("id"), "component")
-        rest = many.join(last, "element", "left").where("leader IS NULL OR id > leader")
-        rest = cut(rest.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")))
-        parts = rest.groupBy("element", "component").agg(F.count(F.lit(1)).alias("docs"))
-        open_ = parts.groupBy("element").agg(F.sum("docs").alias("docs"), F.sum(F.col("docs") * F.col("docs")).alias("alike"))
-        open_ = cut(open_.where("docs * docs > alike").withColumn("pairs", (F.col("docs") * F.col("docs") - F.col("alike")) / 2))
-        left = open_.agg(F.sum("pairs").alias("pairs"), F.sum("docs").alias("docs")).first()
-        if not left["pairs"]:
-            return components
-        many = rest.join(open_.select("element"), "element", "left_semi").select("element", "id", "n", "component")
-        one = many.select("element", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-        other = many.select("element", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-        finish = left["pairs"] <= FEW * left["docs"] or number >= ROUNDS
-        if not finish:
-            last = cut(many.groupBy("element").agg(F.min("id").alias("leader")))
-            one = one.join(last.withColumnRenamed("leader", "x"), ["element", "x"], "left_semi")
-        pairs = one.join(other, "element").where(_fits(percent) & (F.col("cx") != F.col("cy")) & (F.col("x") < F.col("y")))
-        found = found.unionByName(cut(_verified(pairs.select("x", "y").distinct(), known, percent)))
-        components = connected_components(found, "x", "y")
-        if finish:
-            return components
-        many = many.drop("component")
+    many, _ = _open(postings.where(~few).drop("docs"), components)
+    leaders = many.groupBy("element").agg(F.min("id").alias("leader"))
+    pairs = many.join(leaders, "element").where("id <> leader").select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct()
+    found = found.unionByName(cut(_verified(pairs, known, percent)))
+    components = connected_components(found, "x", "y")
+    many, left = _open(many.drop("component"), components)
+    if not left:
+        return components
+    found = found.unionByName(cut(_compared_in_blocks(many, known, percent)))
+    return connected_components(found, "x", "y")
+
+
+def _open(postings: DataFrame, components: DataFrame) -> tuple[DataFrame, int]:
+    """Postings, with components, of elements whose documents are of several components; and how many there are."""
+    labels = components.select(F.col("vertex").alias("id"), "component")
+    labelled = cut(postings.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    several = labelled.groupBy("element").agg(F.min("component").alias("a"), F.max("component").alias("z")).where("a <> z")
+    left = cut(labelled.join(several, "element", "left_semi"))
+    return left, left.count()
+
+
+def _compared_in_blocks(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among documents that share an open element, without a row for each pair.
+
+    Documents tied by elements are a group. Its largest component need not be compared within itself:
+    blocks of the other documents meet blocks of all. A task compares two blocks by one matrix
+    product over the elements that both have, and returns links that join components only.
+    """
+    least = postings.groupBy("element").agg(F.min("id").alias("x"))
+    groups = connected_components(postings.join(least, "element").select("x", F.col("id").alias("y")).distinct(), "x", "y")
+    docs = postings.select("id", "component").distinct().join(groups.withColumnsRenamed({"vertex": "id", "component": "group"}), "id")
+    sizes = docs.groupBy("group", "component").agg(F.count(F.lit(1)).alias("docs"))
+    sizes = sizes.groupBy("group").agg(F.max_by("component", F.struct("docs", "component")).alias("largest"), F.sum("docs").alias("docs"), (F.sum("docs") - F.max("docs")).alias("others"))
+    docs = docs.join(sizes, "group").join(sets.select("id", "n", "elements"), "id")
+
+    def blocks(column: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(column) / BLOCK)).cast("int")
+
+    own = F.pmod(F.xxhash64("id"), blocks("docs")).cast("int")
+    other = F.pmod(F.xxhash64("id", F.lit(1)), blocks("others")).cast("int")
+    row = ["group", "id", "component", "n", "elements"]
+    all_ = docs.select(*row, own.alias("i"), F.explode(F.sequence(F.lit(0), blocks("others") - 1)).alias("j"), F.lit(False).alias("other"))
+    rest = docs.where("component <> largest").select(*row, F.explode(F.sequence(F.lit(0), blocks("docs") - 1)).alias("i"), other.alias("j"), F.lit(True).alias("other"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _links_of_blocks(table, percent)
+
+    return all_.unionByName(rest).groupBy("group", "i", "j").applyInArrow(compare, "x bigint, y bigint")
+
+
+def _links_of_blocks(table: pa.Table, percent: int) -> pa.Table:
+    ids, n, component = (table.column(c).to_numpy() for c in ("id", "n", "component"))
+    lists = table.column("elements").combine_chunks()
+    values, counts = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    row = np.repeat(np.arange(len(ids)), counts)
+    _, which, often = np.unique(values, return_inverse=True, return_counts=True)
+    order = np.argsort(which, kind="stable")
+    order = order[often[which[order]] > 1]
+    which = np.unique(which[order], return_inverse=True)[1]
+    row = row[order]
+    other = np.asarray(table.column("other").to_pylist(), bool)
+    right, left = np.flatnonzero(other), np.flatnonzero(~other)
+    place = np.empty(len(ids), np.int64)
+    place[right], place[left] = np.arange(len(right)), np.arange(len(left))
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(which[-1]) + 1 if len(which) else 0, WIDTH):
+        a, z = np.searchsorted(which, [at, at + WIDTH])
+        r, w, o = row[a:z], which[a:z] - at, other[row[a:z]]
+        dense = [np.zeros((len(side), WIDTH), np.float32) for side in (left, right)]
+        dense[0][place[r[~o]], w[~o]] = 1
+        dense[1][place[r[o]], w[o]] = 1
+        shared += dense[0] @ dense[1].T
+    alike = 100 * shared >= percent * (n[left][:, None] + n[right][None, :] - shared)
+    x, y = np.nonzero(alike & (component[left][:, None] != component[right][None, :]))
+    top: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while top.setdefault(v, v) != v:
+            top[v] = v = top[top[v]]
+        return v
+
+    kept = []
+    for a, b in zip(left[x].tolist(), right[y].tolist(), strict=True):
+        p, q = find(int(component[a])), find(int(component[b]))
+        if p != q:
+            top[p] = q
+            kept.append((int(ids[a]), int(ids[b])))
+    return pa.table({"x": pa.array([a for a, _ in kept], pa.int64()), "y": pa.array([b for _, b in kept], pa.int64())})
 
 
 def components(
@@ -182,7 +254,7 @@ def components(
 ) -> DataFrame:
     """Each row's id, n_shingles and component_id. Ids are of type long."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    keyed = texts.select("id", same_words(F.col("text")).alias("digest"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    keyed = cut(same_words(texts)).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     salted = keyed.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest", "salt").agg(F.min("id").alias("first"))
     least = salted.groupBy("digest").agg(F.min("first").alias("first"))
     spread = salted.select("digest", "salt").join(least, "digest")

@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Hashes of a bucket, about.
-BUCKET_HASHES = 2_000_000
+BUCKET_HASHES = 1_000_000
 PACKET = "b bigint, bucket bigint, payload binary"
 
 
