@@ -241,6 +241,16 @@ def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "chunk", "c.offset", F.length("c.text").alias("size"), F.sha2("c.text", 256).alias("chunk_sha256"))
 
 
+@query()
+def leakage_first_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first generation's check finds in pages as they are; a page's host is its alias."""
+    from veilspark.functions import first_generation as V
+
+    pages = read_table(spark, sf_dir, "pages").withColumn("host", F.regexp_extract("url", "^https?://([^/]+)", 1))
+    found = V.leakage(F.col("html"), F.array("host"))
+    return pages.select("page_id", F.array_join(found, " ").alias("findings")).where("findings <> ''")
+
+
 # Joins
 
 
