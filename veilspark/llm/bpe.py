@@ -43,7 +43,7 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000) -> None:
         self.ranks, self.most_states = ranks, most_states
         self.token = {r: t for t, r in ranks.items()}
         # A trie of all tokens: node * 256 + byte -> node; ends: node -> token.

@@ -10,12 +10,12 @@ import pyarrow.compute as pc
 import regex
 
 #: White space as the split pattern means it.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A space before white space or the end: in such a text not every space begins a part.
 _RUN = f" (?:[{SPACE}]|$)"
 _CUT = regex.compile(f"(?= [^{SPACE}])")
 #: Text bytes handled at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def split_pattern(pattern: str) -> regex.Pattern:
@@ -40,33 +40,47 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class BatchEncoder:
-    """Remembers the ids of parts, `most` of them at most; then it begins anew."""
+    """Remembers the ids of parts, `most` of them at most; when full, it keeps those used again since it met them."""
 
-    def __init__(self, compute: Callable[[list[str]], list[list[int]]], most: int = 400_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], list[list[int]]], most: int = 250_000) -> None:
         self.compute, self.most = compute, most
-        self._clear()
-
-    def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
+        self.uses = np.zeros(1 << 16, np.int64)  # slices that had the part
         self.flat = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
+    def _thin_out(self) -> None:
+        n = len(self.known)
+        uses = self.uses[:n]
+        least = 2
+        while np.count_nonzero(uses >= least) > self.most // 2:
+            least *= 2
+        stays = uses >= least
+        self.known = dict(zip([x for x, s in zip(self.known, stays.tolist(), strict=True) if s], range(n), strict=False))
+        starts, lengths = self.starts[:n][stays], self.lengths[:n][stays]
+        self.used = int(lengths.sum())
+        self.flat[: self.used] = self.flat[ragged(starts, lengths)]
+        k = len(lengths)
+        self.starts[:k], self.lengths[:k], self.uses[:k] = np.cumsum(lengths) - lengths, lengths, uses[stays] // 2
+        self.uses[k:] = 0
+
     def _places(self, parts: list[str]) -> np.ndarray:
         known = self.known
         missing = [x for x in parts if x not in known]
         if missing:
             if len(known) + len(missing) > self.most:
-                self._clear()
-                known, missing = self.known, parts
+                self._thin_out()
+                known = self.known
+                missing = [x for x in parts if x not in known]
             missing = list(dict.fromkeys(missing))
             ids = self.compute(missing)
             first = len(known)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             total = int(sizes.sum())
             while first + len(ids) > len(self.starts):
-                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+                self.starts, self.lengths, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.uses))
             while self.used + total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             self.starts[first : first + len(ids)] = self.used + np.cumsum(sizes) - sizes
@@ -74,7 +88,9 @@ class BatchEncoder:
             self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
             self.used += total
             known.update(zip(missing, range(first, first + len(missing)), strict=True))
-        return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        places = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        self.uses[places] += 1
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none), and each text's end among them after a leading 0."""
