@@ -6,8 +6,8 @@ windows with one minimizer travel as one piece of text. Minimizers that occur in
 are settled by counting (packets.py) and their windows go nowhere. A minimizer of very many
 documents is dealt by the hash of each whole window instead, so no shard grows with its documents.
 
-Within a shard each distinct piece of text occurs once, with the smallest id of its documents. Its
-suffix array is built by induced sorting; equal windows are neighbours there whose permuted common
+Within a shard each distinct piece of text occurs once, with the smallest id of its documents; a piece
+whose minimizer no other piece has can meet none and is left out. The shard's suffix array is built by induced sorting; equal windows are neighbours there whose permuted common
 prefix reaches `length`, and the smallest id among them decides. Batches send each distinct piece
 once, and get back for it one bit for each window: whether a smaller id than its own has it.
 
@@ -35,9 +35,9 @@ PART = 32
 #: A minimizer of more documents is dealt by whole windows.
 HOT = 5_000
 #: Bytes of text handled at once, and bits that tell places within them.
-CHUNK, PLACE_BITS = 1 << 21, 24
+CHUNK, PLACE_BITS = 1 << 20, 24
 #: Bytes of pieces of a shard, about.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 WINDOWS = LENGTH - PART + 1
 WIDE = LENGTH + WINDOWS + 7 & ~7  # bytes of the longest piece, rounded up to whole words
 _NULL_ID = np.iinfo(np.int64).min
@@ -118,17 +118,19 @@ class Batch:
         own = packets.mixed(h[some] ^ np.uint64(0x5851F42D4C957F2D))
         records = records_at(self.data, first, windows + LENGTH - 1)
         content = hash_records(records, windows)
-        shard = packets.bucket_of(np.concatenate([own, packets.mixed(content[len(own) :])]), shards).astype(np.int64)
+        key = np.concatenate([own, packets.mixed(content[len(own) :])])
+        shard = packets.bucket_of(key, shards).astype(np.int64)
         kept, which = distinct(records, content)
         least = np.full(len(kept), np.iinfo(np.int64).max)
         np.minimum.at(least, which, self.order[self.document(first)])
-        return Pieces(first, windows, which, records[kept], windows[kept], least, shard[kept])
+        return Pieces(first, windows, which, records[kept], windows[kept], least, shard[kept], key[kept].astype(np.uint32))
 
 
 class Pieces:
-    def __init__(self, first, windows, which, records, record_windows, least, shard) -> None:  # noqa: ANN001
+    def __init__(self, first, windows, which, records, record_windows, least, shard, key) -> None:  # noqa: ANN001
         self.first, self.windows, self.which = first, windows, which  # of each occurrence
         self.records, self.record_windows, self.least, self.shard = records, record_windows, least, shard  # of each piece
+        self.key = key  # of what the piece was dealt by
         self.order = np.argsort(shard, kind="stable")
         ordered = shard[self.order]
         self.edges = np.flatnonzero(np.diff(ordered, prepend=-1, append=-2)) if len(shard) else np.zeros(1, np.int64)
@@ -139,7 +141,7 @@ class Pieces:
             mine = self.order[a:z]
             lengths = self.record_windows[mine] + LENGTH - 1
             text = self.records[mine][np.arange(WIDE) < lengths[:, None]]
-            rows.append(lengths.astype(np.uint8).tobytes() + self.least[mine].tobytes() + text.tobytes())
+            rows.append(lengths.astype(np.uint8).tobytes() + self.least[mine].tobytes() + self.key[mine].tobytes() + text.tobytes())
             shards.append(int(self.shard[mine[0]]))
         sizes = np.diff(self.edges).tolist()
         heads = [n.to_bytes(4, "little") for n in sizes]
@@ -187,12 +189,13 @@ def distinct(records: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _settle(table: pa.Table) -> pa.Table:
     """One shard: for each packet of pieces, the bits of their windows."""
-    lengths, least, texts, sizes = [], [], [], []
+    lengths, least, keys, texts, sizes = [], [], [], [], []
     for payload in table.column("payload").to_pylist():
         n = int.from_bytes(payload[:4], "little")
         lengths.append(np.frombuffer(payload, np.uint8, n, 4))
         least.append(np.frombuffer(payload, np.int64, n, 4 + n))
-        texts.append(np.frombuffer(payload, np.uint8, offset=4 + 9 * n))
+        keys.append(np.frombuffer(payload, np.uint32, n, 4 + 9 * n))
+        texts.append(np.frombuffer(payload, np.uint8, offset=4 + 13 * n))
         sizes.append(n)
     length, own = np.concatenate(lengths).astype(np.int64), np.concatenate(least)
     text = np.concatenate([*texts, np.zeros(WIDE, np.uint8)])
@@ -201,7 +204,13 @@ def _settle(table: pa.Table) -> pa.Table:
     kept, which = distinct(records, hash_records(records, windows))
     least_ = np.full(len(kept), np.iinfo(np.int64).max)
     np.minimum.at(least_, which, own)
-    best = least_of_windows(records[kept], length[kept], least_)
+    best = np.repeat(least_[:, None], WINDOWS, axis=1)
+    # A piece dealt by a minimizer that no other piece has holds no other piece's window.
+    _, mate, mates = np.unique(np.concatenate(keys)[kept], return_inverse=True, return_counts=True)
+    some = np.flatnonzero(mates[mate] > 1)
+    if len(some):
+        best[some] = least_of_windows(records[kept[some]], length[kept[some]], least_[some])
+    best[np.arange(WINDOWS) >= windows[kept][:, None]] = np.iinfo(np.int64).max
     smaller = best[which] < own[:, None]
     bits = (smaller.astype(np.uint32) << np.arange(WINDOWS, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
     rows, at = [], 0
