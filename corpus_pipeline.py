@@ -26,9 +26,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs).select(*docs.columns)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, n: int = jaccard_join.WORDS, percent: int = jaccard_join.PERCENT
+) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id."""
-    named = jaccard_join.components(docs)
+    named = jaccard_join.components(docs, n=n, percent=percent)
     stays = named.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
     return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
 
