@@ -194,7 +194,7 @@ def sections(text: Column) -> Column:
     def with_count(span: Column, i: Column) -> Column:
         end = F.coalesce(F.get(found, i + 1)["start"], F.length(text))
         body = F.substring(text, span["start"] + 1, end - span["start"])
-        lines = F.transform(F.slice(F.split(body, r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]"), 2, 1_000_000_000), F.trim)
+        lines = F.transform(F.slice(F.split(body, r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]"), 2, 1_000_000_000), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
         count = F.size(F.filter(lines, lambda x: (x != "") & entry(x)))
         return F.struct(span["kind"].alias("kind"), count.alias("n"))
 

@@ -210,6 +210,13 @@ def section_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.sections_long(docs, "doc_id", "sections").drop("candidate_entry_count")
 
 
+@query()
+def section_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """section_inventory with the operator's other result, which its SQL does not compute: entries of the last section of a kind."""
+    docs = documents(spark, sf_dir).select("doc_id", S.sections(F.col("text")).alias("sections"))
+    return rollups.sections_long(docs, "doc_id", "sections")
+
+
 @query()
 def alias_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where a document's own first two words come back in it, as complete tokens: aliases are local to a document."""
@@ -305,6 +312,14 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(edges.distinct())
 
 
+@query()
+def components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and orders by all lineitem rows; a recursive query makes a row for each pair that is connected, so there is no SQL."""
+    items = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_orderkey")
+    edges = items.select(F.col("l_partkey").alias("src"), (F.col("l_orderkey") + 100_000_000).alias("dst"))
+    return connected_components(edges.distinct())
+
+
 @query("""
 WITH s AS (SELECT l_suppkey, list_sort(list(DISTINCT l_partkey % 97)) AS ids FROM lineitem GROUP BY l_suppkey)
 SELECT a.l_suppkey AS "left", b.l_suppkey AS "right", NOT list_has_any(a.ids, b.ids) AS conflict
@@ -324,6 +339,14 @@ def edge_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.relationships(_recommendations(spark, sf_dir).where("l_quantity > 48"), "recommends")
 
 
+@query("""
+SELECT DISTINCT 'relationship_' || substr(sha256('recommends|customer_' || o_custkey || '|supplier_' || l_suppkey), 1, 20) AS relationship_id,
+  'recommends' AS relationship_type, 'customer_' || o_custkey AS source_id, 'supplier_' || l_suppkey AS target_id
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+def edge_derivation_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolution.relationships(_recommendations(spark, sf_dir), "recommends")
+
+
 def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     items = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_quantity")
