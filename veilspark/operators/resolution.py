@@ -64,7 +64,9 @@ def name_pairs(names: DataFrame, party: str, name: str) -> DataFrame:
     pairs = left.join(right, ["surname", "initial"]).where("left_name < right_name AND surname <> ''")
     # A ratio of at least FUZZY_RATIO bounds how far lengths may differ.
     size = 2 * F.least(F.length("left_name"), F.length("right_name")) >= FUZZY_RATIO * (F.length("left_name") + F.length("right_name"))
-    return pairs.where(size).withColumn("ratio", similarity("left_name", "right_name")).where(F.col("ratio") >= FUZZY_RATIO)
+    # As many edits as characters may be left unmatched: what has more cannot reach the ratio.
+    edits = F.levenshtein("left_name", "right_name") <= (1 - FUZZY_RATIO) * (F.length("left_name") + F.length("right_name")) + 1e-9
+    return pairs.where(size).where(edits).withColumn("ratio", similarity("left_name", "right_name")).where(F.col("ratio") >= FUZZY_RATIO)
 
 
 def auto_eligible(kind: Column, value: Column) -> Column:

@@ -617,7 +617,7 @@ def spatial_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of similar names among customers and suppliers, blocked by surname and initial."""
-    customer = read_table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("party"), C.word_key(F.col("c_name")).alias("name"))
-    supplier = read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("party"), C.word_key(F.col("s_name")).alias("name"))
-    return resolution.name_pairs(customer.unionByName(supplier), "party", "name").select("left_name", "right_name", F.round("ratio", 6).alias("ratio"))
+    """Pairs of similar names in documents, blocked by surname and initial: a capitalised word and the word after it."""
+    found = F.explode(F.regexp_extract_all("text", F.lit(r"(?U)\b\p{Lu}\w+[ \t]+\w+"), F.lit(0)))
+    named = documents(spark, sf_dir).select("doc_id", found.alias("name")).withColumn("name", C.word_key(F.col("name")))
+    return resolution.name_pairs(named, "doc_id", "name").select("left_name", "right_name", F.round("ratio", 6).alias("ratio"))
