@@ -60,10 +60,20 @@ def assign_contacts(contacts: DataFrame, anchors: DataFrame) -> DataFrame:
     """Contacts (page, contact_id, box) with the nearest anchor (page, anchor_id, box) above them.
 
     Vertical distance at most 0.20 and horizontal at most 0.25 of the page; ambiguous (null) when the
-    two best scores differ by less than 0.03. Pages are the join key, so pairs stay within a page.
+    two best scores differ by less than 0.03. The join key is a page's grid cell of that reach: a contact
+    is in the one row of its upper edge and in the columns it reaches, an anchor in all cells it can serve,
+    so only anchors near a contact are paired with it.
     """
-    pairs = contacts.join(anchors.withColumnRenamed("box", "a"), "page")
     c, a = F.col("box"), F.col("a")
+
+    def cells(low: Column, high: Column, step: float) -> Column:
+        # A little wider than the reach, so that rounding at a cell's edge loses no pair.
+        return F.explode(F.sequence(F.floor((low - 1e-6) / step), F.floor((high + 1e-6) / step)))
+
+    left = contacts.withColumn("_row", F.floor(c.y0 / 0.20)).withColumn("_column", cells(c.x0 - 0.25, c.x1 + 0.25, 0.25))
+    right = anchors.withColumnRenamed("box", "a").withColumn("_row", cells(a.y0 - 0.02, a.y1 + 0.20, 0.20))
+    right = right.withColumn("_column", cells(a.x0, a.x1, 0.25))
+    pairs = left.join(right, ["page", "_row", "_column"])
     vertical = F.greatest(F.lit(0.0), c.y0 - a.y1)
     horizontal = G.horizontal_gap(c, a)
     near = pairs.where((c.y0 >= a.y0 - 0.02) & (vertical <= 0.20) & (horizontal <= 0.25))

@@ -615,6 +615,25 @@ def spatial_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.assign_contacts(contacts, rows.where("vec_id % 4 = 1").withColumnRenamed("vec_id", "anchor_id"))
 
 
+@query("""
+WITH b AS (SELECT vec_id, label AS page, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+p AS (SELECT c.vec_id AS contact_id, a.vec_id AS anchor_id, c.y - a.y AS dy, greatest(0, c.y - (a.y + w)) AS v,
+    CASE WHEN c.x + w >= a.x AND a.x + w >= c.x THEN 0 ELSE least(abs(c.x + w - a.x), abs(a.x + w - c.x)) END AS h
+  FROM b c JOIN b a USING (page), (SELECT 0.05::DOUBLE AS w) WHERE c.vec_id % 2 = 0 AND a.vec_id % 2 = 1),
+s AS (SELECT contact_id, anchor_id, v + 0.5::DOUBLE * h AS score FROM p WHERE dy >= -0.02::DOUBLE AND v <= 0.20::DOUBLE AND h <= 0.25::DOUBLE),
+r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS nx FROM s WINDOW w AS (PARTITION BY contact_id ORDER BY score, anchor_id))
+SELECT b.vec_id AS contact_id, CASE WHEN nx IS NULL OR nx - score >= 0.03::DOUBLE THEN anchor_id END AS anchor_id
+FROM b LEFT JOIN (SELECT * FROM r WHERE k = 1) f ON b.vec_id = f.contact_id WHERE b.vec_id % 2 = 0""")
+def spatial_assignment_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """spatial_assignment with a role for every row: even ids are contacts, odd ones anchors."""
+    from veilspark.functions.geometry import box
+
+    x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
+    rows = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id"), F.col("label").alias("page"), box(x, y, x + 0.05, y + 0.05).alias("box"))
+    contacts = rows.where("vec_id % 2 = 0").withColumnRenamed("vec_id", "contact_id")
+    return joins.assign_contacts(contacts, rows.where("vec_id % 2 = 1").withColumnRenamed("vec_id", "anchor_id"))
+
+
 @query()
 def fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of similar names in documents, blocked by surname and initial: a capitalised word and the word after it."""
