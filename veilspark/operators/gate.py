@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from veilspark.functions import spans as S
 from veilspark.functions.scalars import placeholder, stable_id
+from veilspark.operators import backends
+
+#: What a model finds of these kinds is replaced; anything else it finds, a person must see.
+ACCEPTED = ["person_name", "organization", "work_title"]
 
 
 def mentions(docs: DataFrame, kinds: list[str] | None = None) -> DataFrame:
@@ -60,13 +64,45 @@ def release_status(confirmed: Column, review: Column, ner_available: Column) ->
     )
 
 
-def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool = True) -> DataFrame:
-    scanned = residual(substitute(mentions(docs)), aliases)
+def model_mentions(found: DataFrame, backend: backends.Backend) -> DataFrame:
+    """Adds to `spans` what the model finds, and `accepted`, `review`: its accepted texts and the number of spans to review.
+
+    The model scans each text twice, as it is and with the detectors' spans masked. An accepted text is
+    replaced wherever it stands as complete tokens.
+    """
+    masked = found.withColumn("_masked", S.mask_spans(F.col("text"), F.col("spans")))
+    both = backends.detect_twice(masked, backend, "text", "_masked").drop("_masked")
+    plain = F.transform("model_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["text"].alias("text")))
+    seen = both.withColumn("_seen", plain).drop("model_spans")
+    taken = F.filter("_seen", lambda s: s["kind"].isin(ACCEPTED))
+    again = F.flatten(F.transform("_taken", lambda s: F.when(S.usable_alias(s["text"]), S.alias_occurrences(F.col("text"), s["text"], s["kind"])).otherwise(F.array().cast(S.SPAN))))
+    out = seen.withColumn("_taken", taken).withColumn("spans", F.array_sort(F.array_distinct(F.concat("spans", "_taken", again))))
+    review = F.size("_seen") - F.size("_taken")
+    return out.withColumns({"accepted": F.array_distinct(F.transform("_taken", lambda s: s["text"])), "review": review}).drop("_seen", "_taken")
+
+
+def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool = True, backend: backends.Backend | None = None) -> DataFrame:
+    """Every document with its counts and status.
+
+    With a backend its two scans are part of the gate. Without one, `ner_available` says whether the
+    texts were scanned for names elsewhere; the null backend is no scan.
+    """
+    found = mentions(docs)
+    scans = backend is not None and backend is not backends.null_backend
+    if scans:
+        found = model_mentions(found, backend)
+    scanned = residual(substitute(found), aliases)
+    if scans:
+        masked = S.mask_placeholders(F.col("redacted"))
+        left = F.flatten(F.transform(F.filter("accepted", S.usable_alias), lambda a: S.alias_occurrences(masked, a)))
+        scanned = scanned.withColumn("findings", F.array_sort(F.array_distinct(F.concat("findings", left))))
+    review = F.col("review") if scans else F.lit(0)
+    ran = scans or (ner_available and backend is None)
     confirmed = F.size("findings")
     return scanned.select(
         "document_id", F.size("spans").cast("long").alias("detected_count"), F.size("selected").cast("long").alias("replacement_count"),
         confirmed.cast("long").alias("confirmed_finding_count"), F.sha2("redacted", 256).alias("content_sha256"),
-        release_status(confirmed, F.lit(0), F.lit(ner_available)).alias("release_status"), "redacted",
+        release_status(confirmed, review, F.lit(ran)).alias("release_status"), "redacted",
     )
 
 
