@@ -6,7 +6,8 @@ in blocks with each dictionary, and the language whose dictionary gives the fewe
 than `margin` of the best.
 
 Fitting: at most DOCS labelled documents of a language, in the order of a hash of their ids, fill a
-dictionary of at most DICT_BYTES; at most LANGUAGES languages are learned, by number of documents.
+dictionary of at most DICT_BYTES. Every language is learned; with more than LANGUAGES of them each one's
+documents and bytes shrink in proportion, so that all dictionaries stay within LANGUAGES * DICT_BYTES.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; ties go to the first
 language by name; without labelled text every document is `und`; other columns are not read.
@@ -43,23 +44,23 @@ def fold(id_: Column, folds: int) -> Column:
 def learn(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language; both the documents and the bytes gathered are bounded."""
     labelled = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = labelled.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    languages = [r["lang"] for r in counts.collect()]
+    languages = labelled.select(lang_col).distinct().count()
+    docs_each = max(1, DOCS * LANGUAGES // max(LANGUAGES, languages))
+    bytes_each = max(1, DICT_BYTES * LANGUAGES // max(LANGUAGES, languages))
     order = Window.partitionBy("lang").orderBy("h", "id")
     rows = (
-        labelled.where(F.col(lang_col).isin(languages) if languages else F.lit(False))
-        .select(
+        labelled.select(
             F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"),
-            F.substring(F.lower(F.col(text_col)), 1, DICT_BYTES).alias("text"),
+            F.substring(F.lower(F.col(text_col)), 1, bytes_each).alias("text"),
         )
         .withColumn("k", F.row_number().over(order))
-        .where(F.col("k") <= DOCS)
+        .where(F.col("k") <= docs_each)
     )
     parts: dict[str, list[tuple[int, str]]] = {}
-    share = F.substring("text", 1, 2 * DICT_BYTES // DOCS)
-    for r in rows.select("lang", "k", share.alias("text")).collect():  # LANGUAGES * DOCS pieces of a few kilobytes
+    share = F.substring("text", 1, max(1, 2 * bytes_each // docs_each))
+    for r in rows.select("lang", "k", share.alias("text")).collect():  # LANGUAGES * DOCS pieces of a few kilobytes, or one of each language
         parts.setdefault(r["lang"], []).append((r["k"], r["text"]))
-    return {lang: "\n".join(t for _, t in sorted(p)).encode()[:DICT_BYTES] for lang, p in sorted(parts.items())}
+    return {lang: "\n".join(t for _, t in sorted(p)).encode()[:bytes_each] for lang, p in sorted(parts.items())}
 
 
 class Classifier:
