@@ -14,7 +14,8 @@ def run_summary(rows: DataFrame, seconds: str, by: list[str] | None = None) -> D
     """Count, total, mean, median and both kinds of p90 and p95.
 
     The rank-index percentiles need the values of a group in order; a group's values are counted
-    first, so a list holds distinct values only.
+    first, so a list holds distinct values only. Without groups the values are dealt by range, and what
+    comes before a range is taken from the ranges' totals.
     """
     by = by or []
     exact = rows.groupBy(*by).agg(
@@ -23,8 +24,12 @@ def run_summary(rows: DataFrame, seconds: str, by: list[str] | None = None) -> D
         *[F.round(percentile_linear(seconds, p), 6).alias(f"p{round(100 * p)}_linear") for p in (0.9, 0.95)],
     )
     counts = rows.where(F.col(seconds).isNotNull()).groupBy(*by, F.col(seconds).alias("value")).agg(F.count(F.lit(1)).alias("c"))
-    upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*by).orderBy("value")))
-    n = F.sum("c").over(Window.partitionBy(*by))
+    if by:
+        upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*by).orderBy("value")))
+        upto = upto.withColumn("all", F.sum("c").over(Window.partitionBy(*by)))
+    else:
+        upto = _upto_by_range(counts)
+    n = F.col("all")
 
     def at(p: float) -> Column:
         place = F.floor((n - 1) * F.lit(p) + F.lit(0.999)) + 1
@@ -42,6 +47,20 @@ def run_summary(rows: DataFrame, seconds: str, by: list[str] | None = None) -> D
     return exact.join(ranked, on, "left").select(exact["*"], "p90_rank", "p95_rank")
 
 
+def _upto_by_range(counts: DataFrame) -> DataFrame:
+    """(value, c) with `upto`, the sum of c up to the value, and `all`, the whole sum; no task holds all values."""
+    from veilspark.plans.frames import cut
+
+    placed = cut(counts.repartitionByRange("value").withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part").agg(F.sum("c").alias("_n"))  # a row for each partition
+    totals = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    whole = placed.agg(F.sum("c").alias("all"))
+    within = F.sum("c").over(Window.partitionBy("_part").orderBy("value"))
+    ranged = placed.join(F.broadcast(totals), "_part").withColumn("upto", F.col("_before") + within)
+    return ranged.drop("_part", "_before").crossJoin(F.broadcast(whole))  # whole: one row
+
+
 def rank_percentile(rows: DataFrame, value: str, p: float, by: str) -> DataFrame:
     """The rank-index percentile of small groups, by a sorted list."""
     values = rows.groupBy(by).agg(F.array_sort(F.collect_list(value)).alias("values"))
