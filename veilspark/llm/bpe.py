@@ -1,18 +1,21 @@
 """Byte-level BPE by a lazily determinised finite-state transducer, and streaming decoding.
 
 A sequence of tokens is the BPE encoding of its bytes exactly when each token encodes to itself and
-each adjacent pair encodes to that pair. So encoding is a nondeterministic transducer: its state is
-(last token, bytes of the next token so far); it may emit the bytes so far when they are a token
-compatible with the last one. Determinising it keeps all live hypotheses, each with the tokens it
-has not yet agreed with the others on; the tokens all agree on are emitted. A hypothesis lives only
-while its bytes begin some token, so the lookahead is bounded by the longest token. States and
-transitions are made when first met and remembered, up to a limit.
-
-Decoding feeds the tokens' bytes, in blocks, to a UTF-8 state machine that holds back an incomplete
-character until its last byte has come.
-
-Defined cases: a null or empty text has no ids; ranks are read on the driver from a path and sent to
-the tasks (a vocabulary is of fixed size); whole texts are encoded, rows with equal ids each alone.
+each adjacent pair encodes to that pair; so every prefix of a text has one encoding, given by its
+last token and that of a shorter prefix. Encoding is a nondeterministic transducer whose hypotheses
+are the places at which the next token may have begun: the suffixes of the bytes read that begin some
+token. Determinising it keeps the longest such suffix (a node of the tokens' trie, whose suffix links
+give the others) and the last tokens of the prefixes that these hypotheses rest on; the tokens that
+all of them agree on are emitted. Suffixes are no longer than the longest token, which bounds the
+lookahead. States and transitions are made when first met and remembered, up to a limit.
+
+Decoding gathers the tokens' bytes and feeds them, in blocks, to a UTF-8 state machine that holds back
+an incomplete character until its last byte has come.
+
+Defined cases: a null or empty text has no ids; an empty table gives an empty result; ranks are read on
+the driver from a path and sent to the tasks (a vocabulary is of fixed size); whole texts are encoded,
+however long; rows with equal or null ids each alone; other columns are not read, so their names can't
+clash.
 """
 
 from __future__ import annotations
@@ -27,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from veilspark.llm.arrow import small_batches
-from veilspark.llm.pieces import BatchEncoder, slices, split_pattern
+from veilspark.llm.pieces import BatchEncoder, ragged, slices, split_pattern
 from veilspark.plans.frames import read_table
 
-BLOCK = 4096
+#: Tokens decoded at once; pieces of a generation of remembered ones.
+BLOCK, PIECES = 4096, 100_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -43,33 +47,69 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 120_000) -> None:
         self.ranks, self.most_states = ranks, most_states
         self.token = {r: t for t, r in ranks.items()}
+        self.size = {r: len(t) for t, r in ranks.items()}
         # A trie of all tokens: node * 256 + byte -> node; ends: node -> token.
         self.below: dict[int, int] = {}
         self.ends: dict[int, int] = {}
-        nodes = 1
+        self.parent, self.depth = [0], [0]
         for token, rank in ranks.items():
             at = 0
             for byte in token:
                 to = self.below.get(at << 8 | byte)
                 if to is None:
-                    to = self.below[at << 8 | byte] = nodes
-                    nodes += 1
+                    to = self.below[at << 8 | byte] = len(self.parent)
+                    self.parent.append(at << 8 | byte)
+                    self.depth.append(self.depth[at] + 1)
                 at = to
             self.ends[at] = rank
+        self.links: dict[int, int] = {0: 0}
+        self.inner = {above >> 8 for above in self.parent}  # nodes that longer tokens go on from
+        self.suffixes: dict[int, tuple[int, tuple[int, ...], int]] = {0: (1, (), 0)}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        # A hypothesis: (tokens not yet emitted, last token or -1, trie node of the next token so far).
-        start = (((), -1, 0),)
+        # A state: trie node; last token of the prefix all agree on, or -1 for none; last token of each longer prefix.
+        # Tokens that no hypothesis rests on are 0.
+        start = (0, -1, ())
         self.states: dict[tuple, int] = {start: 0}
-        self.hypotheses: list[tuple] = [start]
+        self.kept: list[tuple[int, int, tuple[int, ...]]] = [start]
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state * 256 + byte
 
+    def _goto(self, node: int, byte: int) -> int:
+        """The longest suffix of node's bytes and this one that begins a token."""
+        below = self.below
+        while (to := below.get(node << 8 | byte)) is None:
+            if not node:
+                return 0
+            node = self._link(node)
+        return to
+
+    def _link(self, node: int) -> int:
+        """The longest proper suffix of the node's bytes that begins a token."""
+        found = self.links.get(node)
+        if found is None:
+            above, byte = self.parent[node] >> 8, self.parent[node] & 255
+            found = self.links[node] = self._goto(self._link(above), byte) if above else 0
+        return found
+
+    def _suffixes(self, node: int) -> tuple[int, tuple[int, ...], int]:
+        """Lengths of suffixes that begin a longer token, as bits (0 among them); suffixes that are tokens, longest
+        first; and the node of the longest suffix that begins a longer token."""
+        found = self.suffixes.get(node)
+        if found is None:
+            bits, tokens, inner = self._suffixes(self._link(node))
+            if (token := self.ends.get(node)) is not None:
+                tokens = (token, *tokens)
+            if node in self.inner:
+                bits, inner = bits | 1 << self.depth[node], node
+            found = self.suffixes[node] = bits, tokens, inner
+        return found
+
     def merges(self, data: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE as it is defined: the adjacent pair of lowest rank (under `below`) is merged until none is left."""
         got = [data[i : i + 1] for i in range(len(data))]
@@ -125,36 +165,44 @@ class Transducer:
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        live = []
-        below, ends, pairs = self.below, self.ends, self.pairs
-        agree = True
-        for pending, last, node in self.hypotheses[state]:
-            to = below.get(node << 8 | byte)
-            if to is None:
-                continue
-            live.append((pending, last, to))
-            agree = agree and pending
-            token = ends.get(to)
-            if token is not None:
-                fits = pairs.get(last << 20 | token)
-                if fits is None:
-                    fits = self.compatible(last, token)
-                if fits:
-                    live.append(((*pending, token), token, 0))
+        node, before, lasts = self.kept[state]
+        bits, ending, node = self._suffixes(self._goto(node, byte))
+        n, size, pairs = len(lasts) + 1, self.size, self.pairs
+        for token in ending:  # one of them continues the encoding of the prefix before it
+            length = size[token]
+            last = lasts[n - 1 - length] if length < n else before
+            fits = pairs.get(last << 20 | token)
+            if fits is None:
+                fits = self.compatible(last, token)
+            if fits:
+                break
+        else:
+            raise ValueError(f"byte {byte} has no token")
+        lasts = (*lasts, token)
+        # Prefixes by their distance from here: those of the hypotheses, then those they rest on, until one is left.
+        needed = open_ = bits
+        while True:
+            at = (open_ & -open_).bit_length() - 1
+            open_ &= open_ - 1
+            if not open_:
+                break
+            rest = 1 << at + size[lasts[n - 1 - at]]
+            open_ |= rest
+            needed |= rest
         emitted: tuple[int, ...] = ()
-        if agree:
-            first = live[0][0]
-            agreed = 0
-            while agreed < len(first) and all(len(h[0]) > agreed and h[0][agreed] == first[agreed] for h in live):
-                agreed += 1
-            if agreed:
-                emitted = first[:agreed]
-                live = [(pending[agreed:], last, node) for pending, last, node in live]
-        key = tuple(live)
+        if at < n:
+            agreed, k = [], at
+            while k < n:
+                agreed.append(lasts[n - 1 - k])
+                k += size[lasts[n - 1 - k]]
+            before, emitted = agreed[0], tuple(agreed[::-1])
+        if not bits >> at & 1:
+            before = 0  # no hypothesis begins where all agree
+        key = (node, before, tuple([lasts[n - 1 - k] if needed >> k & 1 else 0 for k in range(at - 1, -1, -1)]))
         to = self.states.get(key)
         if to is None:
-            to = self.states[key] = len(self.hypotheses)
-            self.hypotheses.append(key)
+            to = self.states[key] = len(self.kept)
+            self.kept.append(key)
         self.moves[state << 8 | byte] = found = (to, emitted)
         return found
 
@@ -162,7 +210,7 @@ class Transducer:
         """Ids of one piece. A piece that is a token is that token, as the vocabulary's library has it."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if len(self.hypotheses) > self.most_states:
+        if len(self.kept) > self.most_states:
             self._forget()
         out: list[int] = []
         moves, state = self.moves, 0
@@ -173,10 +221,12 @@ class Transducer:
             state, emitted = found
             if emitted:
                 out += emitted
-        for pending, _, node in self.hypotheses[state]:
-            if not node:
-                out += pending
-        return out
+        lasts, tail = self.kept[state][2], []
+        k = len(lasts)
+        while k:
+            tail.append(lasts[k - 1])
+            k -= self.size[lasts[k - 1]]
+        return out + tail[::-1]
 
 
 class Utf8Stream:
@@ -231,22 +281,34 @@ class Codec:
         ranks = parse_ranks(content)
         self.transducer = Transducer(ranks)
         self.findall = split_pattern(pattern).findall
+        # Ids of pieces met lately, in two generations: when the younger is full, the older goes.
         self.pieces: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.batches = BatchEncoder(self._encode)
-
-    def _encode(self, parts: list[str]) -> list[list[int]]:
-        known, out = self.pieces, []
-        if len(known) > 100_000:
-            known.clear()
+        # Bytes of all tokens one after another, and where each one's begin.
+        order = sorted(ranks.values())
+        sizes = np.zeros(order[-1] + 1 if order else 0, np.int64)
+        sizes[order] = [self.transducer.size[r] for r in order]
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        self.bytes = np.frombuffer(b"".join(map(self.transducer.token.__getitem__, order)), np.uint8)
+
+    def _encode(self, parts: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of the parts, one after another, and how many each has."""
+        if len(self.pieces) > PIECES:
+            self.older, self.pieces = self.pieces, {}
+        known, older, findall, run = self.pieces, self.older, self.findall, self.transducer.encode
+        flat: list[int] = []
+        sizes = []
         for part in parts:
-            ids: list[int] = []
-            for piece in self.findall(part):
+            before = len(flat)
+            for piece in findall(part):
                 got = known.get(piece)
                 if got is None:
-                    got = known[piece] = self.transducer.encode(piece.encode())
-                ids += got
-            out.append(ids)
-        return out
+                    got = older.get(piece)
+                    known[piece] = got = run(piece.encode()) if got is None else got
+                flat += got
+            sizes.append(len(flat) - before)
+        return flat, sizes
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
@@ -254,9 +316,10 @@ class Codec:
 
     def decode(self, ids: np.ndarray) -> Iterator[str]:
         """The text of ids, block by block."""
-        stream, token = Utf8Stream(), self.transducer.token
+        stream = Utf8Stream()
         for i in range(0, len(ids), BLOCK):
-            yield stream.feed(b"".join(map(token.__getitem__, ids[i : i + BLOCK].tolist())))
+            some = ids[i : i + BLOCK]
+            yield stream.feed(self.bytes[ragged(self.starts[some], self.sizes[some])].tobytes())
         stream.end()
 
 

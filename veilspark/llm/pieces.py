@@ -42,7 +42,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class BatchEncoder:
     """Remembers the ids of parts, `most` of them at most; when full, it keeps those used again since it met them."""
 
-    def __init__(self, compute: Callable[[list[str]], list[list[int]]], most: int = 250_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], tuple[list[int], list[int]]], most: int = 300_000) -> None:
         self.compute, self.most = compute, most
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1 << 16, np.int64)
@@ -75,17 +75,17 @@ class BatchEncoder:
                 known = self.known
                 missing = [x for x in parts if x not in known]
             missing = list(dict.fromkeys(missing))
-            ids = self.compute(missing)
+            ids, counts = self.compute(missing)
             first = len(known)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            total = int(sizes.sum())
-            while first + len(ids) > len(self.starts):
+            sizes = np.array(counts, np.int64)
+            total = len(ids)
+            while first + len(sizes) > len(self.starts):
                 self.starts, self.lengths, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.uses))
             while self.used + total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.starts[first : first + len(ids)] = self.used + np.cumsum(sizes) - sizes
-            self.lengths[first : first + len(ids)] = sizes
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+            self.starts[first : first + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+            self.lengths[first : first + len(sizes)] = sizes
+            self.flat[self.used : self.used + total] = ids
             self.used += total
             known.update(zip(missing, range(first, first + len(missing)), strict=True))
         places = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
