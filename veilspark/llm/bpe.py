@@ -50,7 +50,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], most_states: int = 120_000) -> None:
         self.ranks, self.most_states = ranks, most_states
         self.token = {r: t for t, r in ranks.items()}
-        self.size = {r: len(t) for t, r in ranks.items()}
+        self.size = [0] * (max(ranks.values(), default=0) + 1)
+        for t, r in ranks.items():
+            self.size[r] = len(t)
         # A trie of all tokens: node * 256 + byte -> node; ends: node -> token.
         self.below: dict[int, int] = {}
         self.ends: dict[int, int] = {}
@@ -73,7 +75,7 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        # A state: trie node; last token of the prefix all agree on, or -1 for none; last token of each longer prefix.
+        # A state: trie node; last token of the prefix all agree on, or -1 for none; last token of each longer prefix, longest first.
         # Tokens that no hypothesis rests on are 0.
         start = (0, -1, ())
         self.states: dict[tuple, int] = {start: 0}
@@ -166,11 +168,12 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         node, before, lasts = self.kept[state]
-        bits, ending, node = self._suffixes(self._goto(node, byte))
-        n, size, pairs = len(lasts) + 1, self.size, self.pairs
+        to = self._goto(node, byte)
+        bits, ending, node = self.suffixes.get(to) or self._suffixes(to)
+        size, pairs, n = self.size, self.pairs, len(lasts)
         for token in ending:  # one of them continues the encoding of the prefix before it
             length = size[token]
-            last = lasts[n - 1 - length] if length < n else before
+            last = lasts[length - 1] if length <= n else before
             fits = pairs.get(last << 20 | token)
             if fits is None:
                 fits = self.compatible(last, token)
@@ -178,27 +181,31 @@ class Transducer:
                 break
         else:
             raise ValueError(f"byte {byte} has no token")
-        lasts = (*lasts, token)
+        lasts = (token, *lasts)
+        n += 1
         # Prefixes by their distance from here: those of the hypotheses, then those they rest on, until one is left.
         needed = open_ = bits
         while True:
-            at = (open_ & -open_).bit_length() - 1
-            open_ &= open_ - 1
-            if not open_:
+            rest = open_ & open_ - 1
+            at = (open_ ^ rest).bit_length() - 1
+            if not rest:
                 break
-            rest = 1 << at + size[lasts[n - 1 - at]]
-            open_ |= rest
-            needed |= rest
+            more = 1 << at + size[lasts[at]]
+            open_ = rest | more
+            needed |= more
         emitted: tuple[int, ...] = ()
         if at < n:
             agreed, k = [], at
             while k < n:
-                agreed.append(lasts[n - 1 - k])
-                k += size[lasts[n - 1 - k]]
+                agreed.append(lasts[k])
+                k += size[lasts[k]]
             before, emitted = agreed[0], tuple(agreed[::-1])
+            lasts = lasts[:at]
         if not bits >> at & 1:
             before = 0  # no hypothesis begins where all agree
-        key = (node, before, tuple([lasts[n - 1 - k] if needed >> k & 1 else 0 for k in range(at - 1, -1, -1)]))
+        if needed + 1 != 2 << at:
+            lasts = tuple([t if needed >> k & 1 else 0 for k, t in enumerate(lasts)])
+        key = (node, before, lasts)
         to = self.states.get(key)
         if to is None:
             to = self.states[key] = len(self.kept)
@@ -222,10 +229,10 @@ class Transducer:
             if emitted:
                 out += emitted
         lasts, tail = self.kept[state][2], []
-        k = len(lasts)
-        while k:
-            tail.append(lasts[k - 1])
-            k -= self.size[lasts[k - 1]]
+        k = 0
+        while k < len(lasts):
+            tail.append(lasts[k])
+            k += self.size[lasts[k]]
         return out + tail[::-1]
 
 
@@ -288,7 +295,7 @@ class Codec:
         # Bytes of all tokens one after another, and where each one's begin.
         order = sorted(ranks.values())
         sizes = np.zeros(order[-1] + 1 if order else 0, np.int64)
-        sizes[order] = [self.transducer.size[r] for r in order]
+        sizes[order] = np.array(self.transducer.size)[order]
         self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
         self.bytes = np.frombuffer(b"".join(map(self.transducer.token.__getitem__, order)), np.uint8)
 
