@@ -82,6 +82,16 @@ def test_round_trip(spark, library):
     assert bpe.round_trip(df.limit(0), *bpe.default_vocabulary()).count() == 0
 
 
+def test_parts_encode_as_whole_texts():
+    use = token_files.Encoder(token_files.read_tokenizer(public.path("byte_bpe_50k.json")))
+    texts = [*ODD, None, "a <|endoftext|> b", "  <|endoftext|>  ", "x\ue000 y  z", "\ue000", "é" * 5000, "one two  three " * 2000, ODD[10], ODD[10]]
+    for some in (texts, texts[:1], ["a b"], []):
+        ids, ends = use.encode(pa.array(some, pa.string()))
+        want = [x.ids for x in use.library.encode_batch([t or "" for t in some], add_special_tokens=False)]
+        assert [ids[a:z].tolist() for a, z in zip(ends, ends[1:], strict=False)] == want
+    assert use.encode(pa.array(["a <|endoftext|> b"]))[0].tolist() == [64, 220, 50256, 275]
+
+
 @pytest.mark.parametrize("n", [0, 1, 400])
 def test_token_files(spark, tmp_path, n):
     rows = [(i * 37 % 1009, t) for i, t in enumerate(ODD[:n])] + ([(None, None)] if n else [])
@@ -90,7 +100,6 @@ def test_token_files(spark, tmp_path, n):
     manifest = token_files.write(df, public.path("byte_bpe_50k.json"), folder, length=64, rows=4)
     got = token_files.read_documents(manifest, folder).collect()
     library = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     start, want = 0, []
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]

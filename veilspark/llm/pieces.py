@@ -12,7 +12,7 @@ import regex
 #: White space as the split pattern means it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A space before white space or the end: in such a text not every space begins a part.
-_RUN = f" (?:[{SPACE}]|$)"
+RUN = f" (?:[{SPACE}]|$)"
 _CUT = regex.compile(f"(?= [^{SPACE}])")
 #: Text bytes handled at once.
 SLICE_BYTES = 3 << 20
@@ -95,7 +95,7 @@ class BatchEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none), and each text's end among them after a leading 0."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.match_substring_regex(texts, _RUN)
+        odd = pc.match_substring_regex(texts, RUN)
         split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         counts = np.diff(split.offsets.to_numpy()) if len(texts) else np.zeros(0, np.int64)
         firsts = split.offsets.to_numpy()[:-1]

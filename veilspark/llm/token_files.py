@@ -4,42 +4,51 @@ Each file is an Arrow IPC stream with a footer. Its batches hold the same number
 the last), and a row is one sequence: `ids`, a fixed-size list of `length` unsigned integers;
 `mask`, a fixed-size list of booleans, false where the last sequence is filled up; and the documents
 that begin in it, as `docs` and their positions `at`. So sequence i is row i mod rows of batch
-i div rows, and reading it through a memory map copies nothing.
+i div rows, and reading it through a memory map copies nothing: ids come as a view of the mapped
+bytes, masks as an Arrow array over the mapped bits.
+
+Texts are cut before each space that other than white space follows, where the library's pieces end
+whatever surrounds them, and each distinct part of a slice is encoded once, many in one call.
 
 Documents are written in ascending order of id, each followed by the end id: one file for each range
 partition, so file k + 1 goes on where file k ends. Files are written under a temporary name and
 renamed, so a task that is run again leaves the same file.
 
 Defined cases: a null or empty text is the end id alone; null ids come first (stored as null); rows
-with equal ids keep an order by text; partitions without rows write no file; other columns are left out.
+with equal ids keep an order by text; partitions without rows write no file and an empty table writes
+none at all; a text that holds the string of a special token is encoded whole, as the library has it
+(the special token's id, unless the caller's file says otherwise); other columns are left out, so their
+names can't clash.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilspark.llm.arrow import small_batches
-from veilspark.llm.pieces import SPACE, BatchEncoder, slices
+from veilspark.llm.pieces import RUN, SPACE, ragged, slices
 from veilspark.plans.frames import cut, read_table, shared_dir
 
 LENGTH = 2048
 ROWS = 64
-#: Parts encoded in one call of the library.
-JOINED = 512
-_SPACE = regex.compile(f"[{SPACE}]")
+#: Parts joined in one text for the library; texts handed to it in one call; bytes of text handled at once.
+JOINED, CALLED, SLICE_BYTES = 512, 128, 6 << 20
+#: Stands for a place to cut at, in texts that don't hold it.
+_MARK = "\ue000"
 
-_encoders: dict[bytes, BatchEncoder] = {}
+_encoders: dict[bytes, Encoder] = {}
 
 
 def read_tokenizer(path: str) -> str:
@@ -47,48 +56,85 @@ def read_tokenizer(path: str) -> str:
         return f.read()
 
 
-class PartEncoder:
-    """Ids of parts by the tokenizers library, which takes much less time for many parts in one text.
+class Encoder:
+    """Ids of whole texts by the tokenizers library, which takes much less time for many parts in one text.
 
-    A space before other than white space begins a piece wherever it stands, so parts that begin so
-    are joined; token lengths in bytes tell whose ids are whose, since byte-level ids lose nothing.
+    A part that begins with a space and other than white space is a run of pieces wherever it stands, so
+    distinct parts are joined; token lengths in bytes tell whose ids are whose, since byte-level ids lose nothing.
     """
 
     def __init__(self, content: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(content)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, id_ in vocabulary.items():
             self.bytes_of[id_] = len(token)  # a character for each byte
 
-    def __call__(self, parts: list[str]) -> list[list[int]]:
-        joins = [i for i, x in enumerate(parts) if len(x) > 1 and x[0] == " " and not _SPACE.match(x[1])]
-        apart = sorted(set(range(len(parts))) - set(joins))
-        out: list[list[int]] = [[]] * len(parts)
-        for i, found in zip(apart, self._ids([parts[i] for i in apart]), strict=True):
-            out[i] = found
-        groups = [joins[k : k + JOINED] for k in range(0, len(joins), JOINED)]
-        for group, ids in zip(groups, self._ids(["".join(parts[i] for i in g) for g in groups]), strict=True):
-            ends = np.cumsum(self.bytes_of[np.asarray(ids)])
-            upto = np.cumsum([len(parts[i].encode()) for i in group])
-            cuts = [0, *(np.searchsorted(ends, upto) + 1).tolist()]
-            for i, start, end in zip(group, cuts, cuts[1:], strict=False):
-                out[i] = ids[start:end]
-        return out
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-def encoder(content: str) -> BatchEncoder:
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after another, and how many each has."""
+        ids, counts = [np.zeros(0, np.uint32)], []
+        for k in range(0, len(texts), CALLED):
+            for found in self.library.encode_batch_fast(texts[k : k + CALLED], add_special_tokens=False):
+                ids.append(np.array(found.ids, np.uint32))
+                counts.append(len(ids[-1]))
+        return np.concatenate(ids), np.array(counts, np.int64)
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts, each behind a space, and where each one's begin and how many they are."""
+        edges = np.append(np.arange(0, len(parts), JOINED), len(parts))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), parts), pa.scalar(" ", parts.type))
+        ids, _ = self._ids([" " + x for x in joined.to_pylist()])
+        upto = np.cumsum(pc.binary_length(parts).to_numpy() + 1)
+        ends = np.cumsum(self.bytes_of[ids])
+        stop = np.searchsorted(ends, upto) + 1 if len(parts) else np.zeros(0, np.int64)
+        if len(parts) and not np.array_equal(ends[stop - 1], upto):
+            raise ValueError("the tokenizer joins bytes across parts")
+        return ids, np.append(0, stop)[:-1], np.diff(stop, prepend=0)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (null: none), and each text's end among them after a leading 0."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = pc.match_substring(texts, _MARK)
+        for token in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        odd = pc.match_substring_regex(texts, RUN)
+        if pc.any(odd).as_py():
+            marked = pc.replace_substring_regex(pc.if_else(odd, texts, ""), f" ([^{SPACE}])", _MARK + r"\1")
+            plain = pc.replace_substring(pc.if_else(odd, "", texts), " ", _MARK)
+            texts_ = pc.if_else(odd, marked, plain)
+            split = pc.split_pattern(pc.if_else(whole, "", texts_), _MARK)
+        else:
+            split = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        counts = np.diff(offsets) - 1  # parts behind a space
+        flat = split.flatten()
+        first = np.zeros(len(flat), bool)
+        first[offsets[:-1]] = True
+        lead = pc.if_else(whole, texts, flat.filter(pa.array(first)))
+        seen = flat.filter(pa.array(~first)).dictionary_encode()
+        ids, starts, lengths = self._parts(seen.dictionary)
+        lead_ids, lead_lengths = self._ids(lead.to_pylist())
+        place = seen.indices.to_numpy()
+        total = np.concatenate([[0], np.cumsum(counts + 1)])
+        all_starts, all_lengths = np.empty(int(total[-1]), np.int64), np.empty(int(total[-1]), np.int64)
+        behind = ~first
+        all_starts[behind], all_lengths[behind] = starts[place], lengths[place]
+        all_starts[total[:-1]] = len(ids) + np.cumsum(lead_lengths) - lead_lengths
+        all_lengths[total[:-1]] = lead_lengths
+        found = np.concatenate([ids, lead_ids])[ragged(all_starts, all_lengths)]
+        return found, np.concatenate([[0], np.cumsum(all_lengths)])[total]
+
+
+def encoder(content: str) -> Encoder:
     """This worker's encoder, made once for each tokenizer."""
     key = hashlib.sha256(content.encode()).digest()
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = BatchEncoder(PartEncoder(content))
+        _encoders[key] = Encoder(content)
     return _encoders[key]
 
 
@@ -174,7 +220,7 @@ class SequenceFile:
                 kept.append(ids[: edges[0]])
             for x, a, b in zip(docs, edges, edges[1:], strict=False):
                 if any_doc:
-                    yield doc, np.concatenate(kept)
+                    yield doc, kept[0] if len(kept) == 1 else np.concatenate(kept)
                 doc, kept, any_doc = x, [ids[a:b]], True
         if any_doc:
             yield doc, np.concatenate(kept)
@@ -201,7 +247,7 @@ def write(
         path = f"{base}/part-{part:06d}.arrow"
         draft = f"{base}/.part-{part:06d}.{uuid.uuid4().hex}"
         for batch in batches:
-            for some in slices(batch, 1):
+            for some in slices(batch, 1, SLICE_BYTES):
                 if writer is None:
                     fs.create_dir(base, recursive=True)
                     sink = fs.open_output_stream(draft)
@@ -243,7 +289,8 @@ def read_documents(manifest: DataFrame, folder: str, id_type: str = "bigint") ->
                 arrays += [pa.array(x, pa.int64()) for x in (starts, counts, sums)]
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "start", "n_tokens", "ids_crc32"])
 
-    files = manifest.select("path", "start", "part").repartition("part").select("path", "start")
+    # A partition for each file, which adaptive execution doesn't merge.
+    files = manifest.select("path", "start", "part").repartitionByRange(max(1, manifest.count()), "part").select("path", "start")
     return files.mapInArrow(run, f"id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
