@@ -101,8 +101,9 @@ def test_removal_without_rows_or_ids(spark):
 
 def test_induced_sorting_and_prefixes(monkeypatch):
     random.seed(3)
-    for digit in (3, 2048):
+    for digit, direct in ((3, 0), (2048, 0), (2048, 6), (3, 1 << 17)):
         monkeypatch.setattr(suffix_array, "DIGIT", digit)
+        monkeypatch.setattr(suffix_array, "DIRECT", direct)
         for _ in range(300):
             k, n = random.choice([1, 2, 3, 40]), random.randint(1, 120)
             text = np.array([random.randint(1, k) for _ in range(n)] + [0], np.int32)

@@ -4,6 +4,8 @@ Suffixes are classified as smaller (S) or larger (L) than their right neighbour.
 suffixes of each run (LMS) are sorted: their substrings by one round of induction, equal ones by
 recursion on the string of their names. From them all suffixes are induced in two scans. A scan goes
 through the buckets of first symbols; within a bucket, whole runs of entries are placed at once.
+The recursion ends at strings of at most DIRECT names, which are sorted by doubling: below that size
+the many small steps of a scan cost more than a few sorts of whole arrays.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ import numpy as np
 
 #: Names of a reduced string are written with this many symbols a digit at most.
 DIGIT = 2048
+#: Strings of so many names are sorted without further recursion.
+DIRECT = 1 << 17
 
 
 def _classify(text: np.ndarray) -> np.ndarray:
@@ -134,6 +138,8 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
 
 def _reduced(names: np.ndarray, distinct: int) -> np.ndarray:
     """Suffixes of the string of names in order. Many names are written with two digits each."""
+    if len(names) <= DIRECT:
+        return _by_doubling(names)
     if distinct <= DIGIT:
         return suffix_array(names.astype(np.int32), distinct)
     base = int(np.ceil(np.sqrt(distinct)))
@@ -144,6 +150,21 @@ def _reduced(names: np.ndarray, distinct: int) -> np.ndarray:
     return order // 2
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    rank, width, n = names.astype(np.int64), 1, len(names)
+    while True:
+        key = rank * (n + 1)
+        key[: n - width] += rank[width:] + 1
+        order = np.argsort(key, kind="stable")
+        change = np.flatnonzero(np.diff(key[order])) + 1
+        if len(change) == n - 1:
+            return order
+        rank = np.zeros(n, np.int64)
+        rank[order[change]] = 1
+        rank[order] = np.cumsum(rank[order])
+        width *= 2
+
+
 def words_at(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as one big-endian number; zeros follow the end."""
     padded = np.concatenate([data, np.zeros(8, data.dtype)]).astype(np.uint64)

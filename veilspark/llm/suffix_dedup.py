@@ -30,14 +30,14 @@ from veilspark.llm.suffix_array import permuted_common_prefixes, suffix_array
 from veilspark.plans.frames import read_table
 
 LENGTH = 50
-#: Bytes of a minimizer: a power of two.
-PART = 32
+#: Bytes of a minimizer. Shorter ones make longer runs, so less text is sent twice; the bits of a run's windows must fit 32.
+PART = 20
 #: A minimizer of more documents is dealt by whole windows.
 HOT = 5_000
 #: Bytes of text handled at once, and bits that tell places within them.
 CHUNK, PLACE_BITS = 1 << 20, 24
-#: Bytes of pieces of a shard, about.
-SHARD_BYTES = 1 << 20
+#: Bytes of text for each shard, which gets about as many of pieces: sorting them in one array takes less time than in many.
+SHARD_BYTES = 6 << 20
 WINDOWS = LENGTH - PART + 1
 WIDE = LENGTH + WINDOWS + 7 & ~7  # bytes of the longest piece, rounded up to whole words
 _NULL_ID = np.iinfo(np.int64).min
@@ -72,12 +72,7 @@ class Batch:
             at = end - LENGTH + 1
 
     def _chunk(self, at: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h = self.data[at:end].astype(np.uint64) + np.uint64(1)
-        factor, width = 0x9E3779B97F4A7C15, 1
-        while width < PART:
-            h = h[:-width] * np.uint64(factor) + h[width:]
-            factor, width = factor * factor % (1 << 64), 2 * width
-        h = packets.mixed(h)
+        h = string_hashes(self.data[at:end], PART)
         low = h & ~np.uint64((1 << PLACE_BITS) - 1) | np.arange(len(h), dtype=np.uint64)
         width = 1
         while 2 * width <= WINDOWS:
@@ -159,6 +154,25 @@ class Pieces:
         return found
 
 
+def string_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """The hash of the `length` bytes at each place, put together from strings of powers of two."""
+    power = data.astype(np.uint64) + np.uint64(1)  # of `width` bytes
+    factor, width = 0x9E3779B97F4A7C15, 1
+    found, done = None, 0
+    while True:
+        if length & width:
+            if found is None:
+                found = power
+            else:
+                n = min(len(found), len(power) - done)
+                found = found[:n] * np.uint64(factor) + power[done : done + n]
+            done += width
+        if 2 * width > length:
+            return packets.mixed(found[: len(data) - length + 1])
+        power = power[:-width] * np.uint64(factor) + power[width:]
+        factor, width = factor * factor % (1 << 64), 2 * width
+
+
 def _ranks(sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
@@ -279,10 +293,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         change = np.zeros(len(batch.data) + 1, np.int32)
         np.add.at(change, pieces.first[later], 1)
         np.add.at(change, pieces.first[later] + pieces.windows[later] + LENGTH - 1, -1)
-        for j in range(WINDOWS):
-            at = pieces.first[~later & (bits >> np.uint32(j) & np.uint32(1) > 0)] + j
-            np.add.at(change, at, 1)
-            np.add.at(change, at + LENGTH, -1)
+        some = np.flatnonzero(~later & (bits > 0))
+        piece, offset = np.nonzero(np.unpackbits(bits[some].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little"))
+        at = pieces.first[some[piece]] + offset
+        change[: len(batch.data)] += np.bincount(at, minlength=len(batch.data)).astype(np.int32)
+        change[: len(batch.data)] -= np.bincount(at + LENGTH, minlength=len(batch.data)).astype(np.int32)
         removed = np.cumsum(change[:-1]) > 0
         spans, kept = [], []
         for a, z in zip(batch.bounds, batch.bounds[1:], strict=False):
