@@ -2,6 +2,15 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run` writes as Parquet and
 reads again as the next stage's docs. All but the last return the columns of documents.
+
+Near copies are taken as five words at a Jaccard similarity of 0.8, the rule for stages on word shingles;
+the query op9_jaccard_join has thresholds of its own.
+
+Defined cases, whatever other columns there are and whatever their names: language ID drops texts that
+are null or have no letter; exact dedup takes null texts as empty ones and returns them so; the near-copy
+stage keeps texts without words, rows without an id, and all rows of a kept id; the mix takes texts
+without words as often as its whole copies and its sample say, at no words; encoding returns every row,
+repeated ones too; a stage of no rows returns none.
 """
 
 from __future__ import annotations
@@ -15,10 +24,17 @@ from veilspark.llm import bpe, exact_dedup, jaccard_join, language_id, mixing
 from veilspark.plans.frames import read_table, shared_dir
 
 
+#: Of a shingle, and the similarity in hundredths, of the near-copy stage.
+WORDS, PERCENT = 5, 80
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters or with a narrow margin go."""
-    classified = language_id.classify(docs, language_id.learn(docs, F.lit(True)))
-    return classified.where(~F.col("language_id.rejected")).drop("language_id")
+    name = "language_id"
+    while name in docs.columns:
+        name = f"_{name}"
+    classified = language_id.classify(docs, language_id.learn(docs, F.lit(True)), name=name)
+    return classified.where(~F.col(f"{name}.rejected")).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +43,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(
-    spark: SparkSession, docs: DataFrame, sf_dir: str, n: int = jaccard_join.WORDS, percent: int = jaccard_join.PERCENT
+    spark: SparkSession, docs: DataFrame, sf_dir: str, n: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id."""
     named = jaccard_join.components(docs, n=n, percent=percent)
-    stays = named.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    stays = named.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+    return docs.alias("d").join(stays.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.id")), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

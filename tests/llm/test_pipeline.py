@@ -39,7 +39,7 @@ def test_stages(spark, tmp_path):
     assert sorted(after) == sorted(top.values())
 
     before, after = rows["jaccard_join"]
-    assert sorted(after) == sorted({c for _, c in plain_links([(i, t) for i, t, _ in before]).values()})
+    assert sorted(after) == sorted({c for _, c in plain_links([(i, t) for i, t, _ in before], percent=80, n=5).values()})
 
     before, after = rows["mixing"]
     sizes = {i: len((t or "").encode().split()) for i, t, _ in before}
@@ -52,3 +52,19 @@ def test_stages(spark, tmp_path):
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     want = Counter((i, len(library.encode_ordinary(t))) for i, t, _ in rows["bpe"][0])
     assert Counter((r.doc_id, r.n_tokens) for r in kept[-1][2].collect()) == want
+
+
+def test_odd_rows_in_every_stage(spark):
+    long = "the quick brown fox and the lazy dog " * 20_000
+    texts = [None, "", " ", "the house and the garden", "the house and the garden", "das Haus und der Garten im Licht", long, long, "123"]
+    rows = [(i if i != 7 else None, t, ["en", None][i % 2], [None, "a"][i % 3 > 0], "x", "y", 1, 2) for i, t in enumerate(texts)]
+    rows.append((3, "the house and the garden", "en", "a", "x", "y", 1, 2))
+    schema = "doc_id long, text string, lang string, source string, _id string, language_id string, rank int, copies int"
+    docs = spark.createDataFrame(rows, schema)
+    for k, (_, stage) in enumerate(pipeline.STAGES):
+        out, none = stage(spark, docs, DATA), stage(spark, docs.limit(0), DATA)
+        assert out.collect() and none.count() == 0
+        if k < len(pipeline.STAGES) - 1:
+            assert out.columns == docs.columns
+    kept = pipeline.drop_near_copies(spark, docs, DATA)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 1, 2, 3, 3, 5, 6, 8]

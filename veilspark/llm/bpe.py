@@ -29,12 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from veilspark.llm.arrow import small_batches
+from veilspark.llm.arrow import held, small_batches
 from veilspark.llm.pieces import BatchEncoder, ragged, slices, split_pattern
 from veilspark.plans.frames import read_table
 
 #: Tokens decoded at once; pieces of a generation of remembered ones.
-BLOCK, PIECES = 4096, 100_000
+BLOCK, PIECES = 4096, 70_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -145,7 +145,7 @@ class Transducer:
             return known
         if (known := self.pairs.get(key)) is not None:
             return known
-        if len(self.pairs) > 300_000:
+        if len(self.pairs) > 200_000:
             self.pairs.clear()
         token, rank = self.token, self.ranks.get
         before = 1 << 60  # only merges of lower rank, or of this rank further left, come first
@@ -330,16 +330,9 @@ class Codec:
         stream.end()
 
 
-_codecs: dict[bytes, Codec] = {}
-
-
 def codec(content: bytes, pattern: str) -> Codec:
     """This worker's codec, made once for each vocabulary."""
-    key = hashlib.sha256(content + pattern.encode()).digest()
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(content, pattern)
-    return _codecs[key]
+    return held(("bpe", hashlib.sha256(content + pattern.encode()).digest()), lambda: Codec(content, pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

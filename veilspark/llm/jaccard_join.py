@@ -13,8 +13,10 @@ costs in proportion to its size. Where documents of different components are lef
 in blocks by matrix products, so no row is made for a pair. No candidate is dropped.
 
 Defined cases: texts that are null or without words have an empty set, n_shingles 0, and link with
-nothing, not even each other; fewer words than n are one element; null ids are a vertex each of no
-links, named null; rows that repeat an id are one vertex with the links of all their texts.
+nothing, not even each other; fewer words than n are one element; a row without an id has no links, a null
+component and the size of the same words of a row with one, else 0; rows that repeat an id have each its own
+size, and their texts' groups are one; ids are of type long; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.llm import packets
-from veilspark.llm.arrow import small_batches
+from veilspark.llm.arrow import forget, small_batches
 from veilspark.operators.graph import connected_components
 from veilspark.plans.frames import cut, read_table
 
@@ -44,15 +46,19 @@ CHEAP, LONGEST = 16, 4
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def digest_of(text: str | None) -> str | None:
+    """Equal for the same folded words, null without words."""
+    words = (text or "").encode().translate(_FOLD).split()
+    return hashlib.sha256(b" ".join(words)).hexdigest() if words else None
+
+
 def same_words(docs: DataFrame) -> DataFrame:
     """(id, digest) of documents (id, text): digests are equal for the same folded words, null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests = []
-            for text in batch.column(1):
-                words = (text.as_py() or "").encode().translate(_FOLD).split()
-                digests.append(hashlib.sha256(b" ".join(words)).hexdigest() if words else None)
+            digests += [digest_of(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], ["id", "digest"])
 
     return small_batches(docs).mapInArrow(run, "id bigint, digest string")
@@ -79,55 +85,56 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-n * percent // 100)
 
 
-def _prefixes(ids: list, sets: list[np.ndarray], known: packets.Shared, percent: int) -> pa.Table:
+def _prefixes(ids: list, digests: list, sets: list[np.ndarray], known: packets.Shared, percent: int) -> pa.Table:
     rows = []
-    for id_, h in zip(ids, sets, strict=True):
+    for id_, digest, h in zip(ids, digests, sets, strict=True):
         n = len(h)
         if not n:
-            rows.append((id_, 0, 0, None, None))
+            rows.append((id_, digest, 0, 0, None, None))
             continue
         count = known.count(h)
         short = int(n - needed(n, percent) + 1)
         order = np.lexsort((h, count))
         cost = int((count[order[:short]] - 1).sum())
         if not cost:
-            rows.append((id_, n, 0, None, None))
+            rows.append((id_, digest, n, 0, None, None))
             continue
         more = min(LONGEST, 1 + max(0, int(np.log2(cost / CHEAP) // 2) if cost > CHEAP else 0), n - short + 1)
         prefix = order[: short + more - 1]
         prefix = prefix[count[prefix] > 1]
-        rows.append((id_, n, more, h[prefix].astype(np.int64), h.astype(np.int64)))
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["id", "n", "more", "prefix", "elements"])
+        rows.append((id_, digest, n, more, h[prefix].astype(np.int64), h.astype(np.int64)))
+    columns = zip(*rows, strict=True) if rows else [[]] * 6
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["id", "digest", "n", "more", "prefix", "elements"])
 
 
 def sets_of(docs: DataFrame, first: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n, more, prefix, elements) of documents (id, text) with an id in `first`; prefix and elements
+    """(id, digest, n, more, prefix, elements) of documents (id, text) with an id in `first`; prefix and elements
     are null where the prefix meets no other document."""
     size = packets.layout(docs, "text", 6.0)
     base = docs.withColumn("b", packets.batch_of(F.col("id"), size.batches))
     mine = first.select(packets.batch_of(F.col("id"), size.batches).alias("b"), F.col("id").alias("bucket"), F.lit(None).cast("binary").alias("payload"))
 
-    def read(table: pa.Table, right: pa.Table) -> tuple[list, list[np.ndarray], pa.Table]:
+    def read(table: pa.Table, right: pa.Table) -> tuple[list, list[str], pa.Table]:
+        forget()
         is_id = pa.compute.is_null(right.column("payload"))
         wanted = set(right.filter(is_id).column("bucket").to_pylist())
         chosen = list(dict.fromkeys((i, t) for i, t in packets.texts(table) if i in wanted))
-        return [i for i, _ in chosen], shingles([t for _, t in chosen], n), right.filter(pa.compute.invert(is_id))
+        return [i for i, _ in chosen], [t for _, t in chosen], right.filter(pa.compute.invert(is_id))
 
     def send(table: pa.Table, right: pa.Table) -> pa.Table:
-        _, sets, _ = read(table, right)
+        sets = shingles(read(table, right)[1], n)
         batch = table.column("b")[0].as_py() if table.num_rows else 0
         return packets.packets(batch, np.concatenate([np.zeros(0, np.uint64), *sets]), size.buckets)
 
     def receive(table: pa.Table, right: pa.Table) -> pa.Table:
-        ids, sets, answers = read(table, right)
-        return _prefixes(ids, sets, packets.Shared(answers, size.buckets), percent)
+        ids, chosen, answers = read(table, right)
+        return _prefixes(ids, list(map(digest_of, chosen)), shingles(chosen, n), packets.Shared(answers, size.buckets), percent)
 
     grouped = base.groupBy("b")
     sent = grouped.cogroup(mine.groupBy("b")).applyInArrow(send, packets.PACKET)
     answers = packets.shared(sent).unionByName(mine)
-    schema = "id bigint, n bigint, more int, prefix array<bigint>, elements array<bigint>"
+    schema = "id bigint, digest string, n bigint, more int, prefix array<bigint>, elements array<bigint>"
     return grouped.cogroup(answers.groupBy("b")).applyInArrow(receive, schema)
 
 
@@ -146,8 +153,8 @@ def _fits(percent: int) -> Column:
     return (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.col("x") != F.col("y"))
 
 
-def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(vertex, component) of all documents with a link."""
+def links(sets: DataFrame, percent: int = PERCENT, ties: DataFrame | None = None) -> DataFrame:
+    """(vertex, component) of all documents with a link; ties: further links (x, y)."""
     known = sets.where("prefix IS NOT NULL")
     postings = known.select("id", "n", F.explode("prefix").alias("element"))
     several = postings.groupBy("element").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
@@ -157,7 +164,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     few = F.col("docs") <= FEW
     pairs = postings.where(few).select("element", F.col("id").alias("x"), F.col("n").alias("nx")).join(y, "element")
     pairs = pairs.where(_fits(percent) & (F.col("x") < F.col("y"))).select("x", "y").distinct()
-    found = cut(_verified(pairs, known, percent))
+    found = cut(_verified(pairs, known, percent) if ties is None else _verified(pairs, known, percent).unionByName(ties))
     components = connected_components(found, "x", "y")
     many, _ = _open(postings.where(~few).drop("docs"), components)
     leaders = many.groupBy("element").agg(F.min("id").alias("leader"))
@@ -255,18 +262,23 @@ def components(
     """Each row's id, n_shingles and component_id. Ids are of type long."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     keyed = cut(same_words(texts)).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-    salted = keyed.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest", "salt").agg(F.min("id").alias("first"))
+    known = keyed.where("digest IS NOT NULL AND id IS NOT NULL")
+    salted = known.groupBy("digest", "salt").agg(F.min("id").alias("first"))
     least = salted.groupBy("digest").agg(F.min("first").alias("first"))
-    spread = salted.select("digest", "salt").join(least, "digest")
-    rows = cut(keyed.join(spread, ["digest", "salt"], "left").select("id", F.coalesce("first", "id").alias("first"), F.col("digest").isNotNull().alias("words")))
-    vertices = rows.where("words AND id = first").select("id").distinct()
-    sets = cut(sets_of(texts, vertices, n, percent))
-    sizes = sets.groupBy(F.col("id").alias("first")).agg(F.max("n").alias("n_shingles"))
-    named = links(sets, percent).select(F.col("vertex").alias("first"), "component")
-    out = rows.join(sizes, "first", "left").join(named, "first", "left")
-    return out.select(
-        "id", F.when(F.col("words"), F.coalesce("n_shingles", F.lit(0))).otherwise(0).cast("long").alias("n_shingles"),
-        F.when(F.col("words"), F.coalesce("component", "first")).otherwise(F.col("id")).alias("component_id"),
+    spread = cut(salted.select("digest", "salt").join(least, "digest"))
+    sets = cut(sets_of(texts, spread.select(F.col("first").alias("id")).distinct(), n, percent))
+    # Only ids of several texts tie their texts' representatives.
+    several = known.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("z")).where("a <> z").select("id")
+    ties = known.join(several, "id", "left_semi").join(spread, ["digest", "salt"])
+    ties = ties.where("id <> first").select(F.col("first").alias("x"), F.col("id").alias("y")).distinct()
+    named = links(sets, percent, ties).select(F.col("vertex").alias("first"), "component")
+    # A row for each digest and salt, so rows of one text meet it in several tasks.
+    sizes = sets.groupBy("digest").agg(F.max("n").alias("n_shingles"))
+    spread = spread.join(sizes, "digest").join(named, "first", "left")
+    spread = spread.select("digest", "salt", "n_shingles", F.coalesce("component", "first").alias("component"))
+    return keyed.join(spread, ["digest", "salt"], "left").select(
+        "id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
     )
 
 

@@ -5,12 +5,15 @@ in blocks with each dictionary, and the language whose dictionary gives the fewe
 `rejected` marks documents without text or letters and those whose two best sizes differ by less
 than `margin` of the best.
 
-Fitting: at most DOCS labelled documents of a language, in the order of a hash of their ids, fill a
-dictionary of at most DICT_BYTES. Every language is learned; with more than LANGUAGES of them each one's
-documents and bytes shrink in proportion, so that all dictionaries stay within LANGUAGES * DICT_BYTES.
+Fitting: whole labelled texts of a language, in the order of a hash of their ids, fill its dictionary
+until DICT_BYTES of them are there (only the text that crosses this bound is cut) or DOCS texts are used.
+Every language is learned; with more than LANGUAGES of them each one's documents and bytes shrink in
+proportion, so that all dictionaries stay within LANGUAGES * DICT_BYTES.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; ties go to the first
-language by name; without labelled text every document is `und`; other columns are not read.
+language by name; without labelled text, or with an empty table, every document is `und`; rows that repeat
+an id, or have none, are classified each by its own text; whole texts are compressed, block by block,
+however long; `classify` adds one column of the name given and replaces one of that name.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilspark.llm.arrow import small_batches
+from veilspark.llm.arrow import held, small_batches
 from veilspark.plans.frames import read_table
 
 DOCS = 200
@@ -47,18 +50,18 @@ def learn(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     languages = labelled.select(lang_col).distinct().count()
     docs_each = max(1, DOCS * LANGUAGES // max(LANGUAGES, languages))
     bytes_each = max(1, DICT_BYTES * LANGUAGES // max(LANGUAGES, languages))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    rows = (
-        labelled.select(
-            F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"),
-            F.substring(F.lower(F.col(text_col)), 1, bytes_each).alias("text"),
-        )
+    order = Window.partitionBy("lang").orderBy("h", "id", "text")
+    chosen = (
+        labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
         .withColumn("k", F.row_number().over(order))
         .where(F.col("k") <= docs_each)
+        .withColumn("text", F.lower("text"))
+        .withColumn("before", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        .where(F.coalesce("before", F.lit(0)) < bytes_each)
     )
     parts: dict[str, list[tuple[int, str]]] = {}
-    share = F.substring("text", 1, max(1, 2 * bytes_each // docs_each))
-    for r in rows.select("lang", "k", share.alias("text")).collect():  # LANGUAGES * DOCS pieces of a few kilobytes, or one of each language
+    # Of each language bytes_each and the rest of one text, of which no more than bytes_each is fetched.
+    for r in chosen.select("lang", "k", F.substring("text", 1, bytes_each).alias("text")).collect():
         parts.setdefault(r["lang"], []).append((r["k"], r["text"]))
     return {lang: "\n".join(t for _, t in sorted(p)).encode()[:bytes_each] for lang, p in sorted(parts.items())}
 
@@ -93,11 +96,8 @@ class Classifier:
         return self.languages[sizes.index(best)], score, margin
 
 
-_classifiers: dict[int, Classifier] = {}
-
-
-def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
-    """docs with a struct `language_id`: lang_pred, score, margin, rejected.
+def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", margin: float = MARGIN, name: str = "language_id") -> DataFrame:
+    """docs with a struct `name`: lang_pred, score, margin, rejected.
 
     The dictionaries go to the tasks with the function: LANGUAGES * DICT_BYTES at most.
     """
@@ -107,14 +107,11 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     def predict(texts):
         import pandas as pd
 
-        if key not in _classifiers:
-            _classifiers.clear()
-            _classifiers[key] = Classifier(dictionaries)
-        use = _classifiers[key]
+        use = held(("language", key), lambda: Classifier(dictionaries))
         rows = [(*p, p[0] == "und" or p[2] < margin) for p in map(use.predict, texts)]
         return pd.DataFrame(rows, columns=["lang_pred", "score", "margin", "rejected"])
 
-    return small_batches(docs).withColumn("language_id", predict(F.col(text_col)))
+    return small_batches(docs).withColumn(name, predict(F.col(text_col)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

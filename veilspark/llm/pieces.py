@@ -42,7 +42,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class BatchEncoder:
     """Remembers the ids of parts, `most` of them at most; when full, it keeps those used again since it met them."""
 
-    def __init__(self, compute: Callable[[list[str]], tuple[list[int], list[int]]], most: int = 300_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], tuple[list[int], list[int]]], most: int = 250_000) -> None:
         self.compute, self.most = compute, most
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1 << 16, np.int64)

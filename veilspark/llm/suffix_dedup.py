@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.llm import packets
+from veilspark.llm.arrow import forget
 from veilspark.llm.suffix_array import permuted_common_prefixes, suffix_array
 from veilspark.plans.frames import read_table
 
@@ -270,6 +271,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         return table.column("b")[0].as_py()
 
     def send(table: pa.Table) -> pa.Table:
+        forget()
         return packets.packets(batch_id(table), Batch(table).hashes(), size.buckets)
 
     def split(answers: pa.Table) -> tuple[packets.Shared, dict[int, bytes]]:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilspark.llm.arrow import small_batches
+from veilspark.llm.arrow import held, small_batches
 from veilspark.llm.pieces import RUN, SPACE, ragged, slices
 from veilspark.plans.frames import cut, read_table, shared_dir
 
@@ -48,9 +48,6 @@ JOINED, CALLED, SLICE_BYTES = 512, 128, 6 << 20
 #: Stands for a place to cut at, in texts that don't hold it.
 _MARK = "\ue000"
 
-_encoders: dict[bytes, Encoder] = {}
-
-
 def read_tokenizer(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -131,11 +128,7 @@ class Encoder:
 
 def encoder(content: str) -> Encoder:
     """This worker's encoder, made once for each tokenizer."""
-    key = hashlib.sha256(content.encode()).digest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(content)
-    return _encoders[key]
+    return held(("tokens", hashlib.sha256(content.encode()).digest()), lambda: Encoder(content))
 
 
 def file_schema(length: int, id_type: pa.DataType, vocabulary: int) -> pa.Schema:

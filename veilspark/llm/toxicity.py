@@ -12,7 +12,10 @@ most TERMS terms that are rare among the others are kept. Exception phrases are
 term whose rate is no higher among toxic documents; at most PHRASES. The curve is fitted last.
 
 Defined cases: a null or empty text scores as one without matches; rows without a label, with a null
-one, or with labels that differ don't teach; with no labels every score is 0.
+one, or with labels that differ don't teach; with no labels every score is 0; rows that repeat an id, or
+have none, are scored each by its own text; an empty table gives an empty result; a text of any length is
+one string in a task. `score` adds the column `toxicity` and replaces one of that name; the query takes
+only doc_id and text.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm.arrow import small_batches
+from veilspark.llm.arrow import held, small_batches
 from veilspark.plans.frames import cut, read_table
 
 DOCS, TERMS, PHRASES = 20_000, 2_000, 500
@@ -96,25 +99,23 @@ class Matcher:
                 del found[start]
         return sum(found.values()) / max(1, folded.count(" ") - 1), len(found)
 
-    def score(self, text: str | None) -> float:
+    def judge(self, text: str | None) -> tuple[float, int]:
+        """Score, and the number of counted matches."""
         density, matches = self.density(text)
         if not self.ready:
-            return 0.0
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.model.offset + self.model.slope * signal(density)))))
+            return 0.0, 0
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.model.offset + self.model.slope * signal(density))))), matches
+
+    def score(self, text: str | None) -> float:
+        return self.judge(text)[0]
 
 
 def signal(density: float) -> float:
     return math.log1p(1000 * density)
 
 
-_matchers: dict[Model, Matcher] = {}
-
-
 def matcher(model: Model) -> Matcher:
-    if model not in _matchers:
-        _matchers.clear()
-        _matchers[model] = Matcher(model)
-    return _matchers[model]
+    return held(("toxicity", model), lambda: Matcher(model))
 
 
 def features(text: str | None) -> list[str]:
@@ -225,7 +226,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         import pandas as pd
 
         use = matcher(model)
-        return pd.DataFrame([(use.score(t), use.density(t)[1]) for t in texts], columns=["score", "matches"])
+        return pd.DataFrame([use.judge(t) for t in texts], columns=["score", "matches"])
 
     return small_batches(docs).withColumn("toxicity", of(F.col(text_col)))
 
