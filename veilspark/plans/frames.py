@@ -20,10 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, a temporary one on this machine; on a cluster, an error."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not (context.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not context.getCheckpointDir():
         context.setCheckpointDir(found)

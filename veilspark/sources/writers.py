@@ -40,19 +40,30 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publish(tables: dict[str, DataFrame], leaks: DataFrame, folder: str) -> None:
-    """Write the tables beside the target and rename; nothing is written while a leak is found."""
+    """Write the tables beside the target and rename; nothing is written while a leak is found.
+
+    A package that is there already is renamed aside, and deleted only when the new one has its place;
+    if that fails, it is put back. Between the two renames the target is absent for a moment.
+    """
     spark = leaks.sparkSession
     if leaks.limit(1).count():
         raise ValueError("candidate has leaks")
     draft = f"{folder}.{uuid.uuid4().hex}"
     for name, table in tables.items():
         write_csv(table, f"{draft}/{name}")
-    manifest(spark, draft).coalesce(1).write.json(f"{draft}/manifest")  # a row for each file
+    manifest(spark, draft).write.json(f"{draft}/manifest")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path(folder)):
-        fs.delete(path(folder), True)
-    fs.rename(path(draft), path(folder))
+    old = f"{draft}.old"
+    there = fs.exists(path(folder))
+    if there and not fs.rename(path(folder), path(old)):
+        raise OSError(f"cannot move {folder} aside")
+    if not fs.rename(path(draft), path(folder)):
+        if there:
+            fs.rename(path(old), path(folder))
+        raise OSError(f"cannot move {draft} to {folder}")
+    if there:
+        fs.delete(path(old), True)
 
 
 def changed_files(approved: DataFrame, current: DataFrame) -> DataFrame:
