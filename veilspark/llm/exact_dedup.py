@@ -31,6 +31,8 @@ def sha256_hex(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], salts: int) -> DataFrame:
+    if not 1 <= salts <= 63:
+        raise ValueError("1 to 63 salts: they are kept as bits of a long")
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).alias("id"),

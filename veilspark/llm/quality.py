@@ -6,11 +6,14 @@ what it costs in good ones. The other half is the holdout: all proposed cutoffs
 by t steps, and t is lowered from the most lenient value while the exact (Clopper-Pearson) upper
 bound of the stratum's false rejections stays below `risk`. Testing in this fixed order needs no
 correction along t and stops at the first failure; over strata the error probability is divided
-(Bonferroni), so with probability 1 - `error` no stratum loses more than `risk` of its good documents.
+(Bonferroni), so with probability 1 - `error` the rules cost no stratum more than `risk` of those of its
+good documents that pass the base rule. What the base rule rejects is fixed beforehand and not counted.
 
 Defined cases: a null text has no words and fails the base rule; a null stratum is one of its own;
 documents with a null or absent label, or with several labels that differ, don't count; without
-enough labels no rule of the stratum rejects; documents with equal ids are measured each alone.
+enough labels no rule of the stratum rejects; documents with equal ids are measured each alone and count
+each with the id's label; those without an id teach nothing; empty documents give an empty result and empty
+labels reject nothing; the operator makes its own columns, so other names can't clash.
 """
 
 from __future__ import annotations

@@ -4,11 +4,14 @@ Rows are range-partitioned and sorted by id; each partition's total gives its of
 order, and a row goes to the shard in which its middle byte lies. Only (id, size, checksum) move:
 the texts stay where they are until `write_shards` writes them.
 
-Law `bytes`: every shard's bytes differ from total / shards by less than the largest row. Runs of
-equal texts are not kept together under this law, since a group may be larger than a shard.
+Law `bytes`: every shard's bytes differ from total / shards by less than the largest row. A group of
+equal texts is not moved into one shard: shards are contiguous in the order of ids and near equal in
+bytes, and a group that holds a third of all rows can't be in one of 24 near equal shards. `text_crc32`
+tells which rows may be of one group.
 
 Defined cases: a null text has no bytes; null ids come first; rows with equal ids are ordered by
-checksum, size and place of reading; an empty table gives an empty result.
+checksum, size and place of reading; an empty table gives an empty result; the operator takes ids and
+texts only, so other columns' names can't clash.
 """
 
 from __future__ import annotations
