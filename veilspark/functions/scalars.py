@@ -153,6 +153,33 @@ def native_text_reliable(text: Column) -> Column:
     return F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", "")) >= 40
 
 
+# What a page's own text needs to be used as it is.
+LEAST_ALNUM, LEAST_PRINTABLE, MOST_REPLACED, MOST_IMAGE = 40, 0.85, 0.05, 0.65
+
+
+def alphanumeric(text: Column) -> Column:
+    return F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", ""))
+
+
+def native_quality(text: Column, rotation: Column, image_share: Column) -> Column:
+    """Names of what speaks against a page's own text, in order."""
+    n, letters = F.length(text), alphanumeric(text)
+    printable = n - F.length(F.regexp_replace(text, r"[^\p{C}\p{Z}]|[ \n\t]", ""))
+    replaced = n - F.length(F.replace(text, F.lit("\ufffd"), F.lit("")))
+    flags = {
+        "encoding_replacement_characters": replaced > MOST_REPLACED * n,
+        "image_dominant_page": (image_share > MOST_IMAGE) & (letters < 4 * LEAST_ALNUM),
+        "insufficient_native_text": letters < LEAST_ALNUM,
+        "low_printable_ratio": printable < LEAST_PRINTABLE * n,
+        "rotated_page": F.abs(rotation) % 180 != 0,
+    }
+    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
+
+
+def visually_blank(text: Column, images: Column, drawings: Column) -> Column:
+    return ~text.rlike(r"\S") & (images == 0) & (drawings == 0)
+
+
 def model_json(response: Column, schema: str) -> Column:
     """The object in a model's answer: fences are dropped, and what precedes its first brace."""
     bare = F.regexp_replace(response, r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", "")

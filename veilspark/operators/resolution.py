@@ -142,3 +142,42 @@ def relabel(rows: DataFrame, columns: list[str], names: DataFrame) -> DataFrame:
         rows = rows.join(names.select(F.col("old_id").alias(c), F.col("new_id").alias("_new")), c, "left")
         rows = rows.withColumn(c, F.coalesce("_new", c)).drop("_new")
     return rows
+
+
+def candidate_id(a: Column, b: Column) -> Column:
+    """The same whichever party is named first."""
+    return stable_id("candidate", F.concat_ws(":", F.least(a, b).cast("string"), F.greatest(a, b).cast("string")))
+
+
+def review_candidates(proposed: list[DataFrame], rejected: DataFrame, merged: DataFrame) -> DataFrame:
+    """Pairs (a, b, reason) for a person to decide: all reasons of a pair, without those rejected before and
+    those whose parties are of one person already (merged: party, person_id)."""
+    pairs = proposed[0]
+    for more in proposed[1:]:
+        pairs = pairs.unionByName(more)
+    ordered = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "reason")
+    one = ordered.groupBy("a", "b").agg(F.sort_array(F.collect_set("reason")).alias("reasons")).withColumn("candidate_id", candidate_id(F.col("a"), F.col("b")))
+    left = one.join(rejected.select("candidate_id").distinct(), "candidate_id", "left_anti")
+    person = merged.select("party", "person_id")
+    of_a, of_b = person.toDF("a", "_of_a"), person.toDF("b", "_of_b")
+    return left.join(of_a, "a", "left").join(of_b, "b", "left").where("_of_a IS NULL OR _of_b IS NULL OR _of_a <> _of_b").drop("_of_a", "_of_b")
+
+
+def decided(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Decisions (candidate_id, decision) on candidates (a, b, conflict, candidate_id), each with its outcome.
+
+    An id that its parties don't give again is `invalid`, accepting against a conflict is `conflict`; what is
+    accepted else is `merge`, what is rejected is `rejected` and stays so.
+    """
+    both = decisions.join(candidates, "candidate_id", "left")
+    genuine = F.coalesce(F.col("candidate_id") == candidate_id(F.col("a"), F.col("b")), F.lit(False))
+    outcome = (
+        F.when(~genuine, "invalid").when(F.col("decision") == "reject", "rejected")
+        .when(F.col("decision") != "accept", "invalid").when(F.col("conflict"), "conflict").otherwise("merge")
+    )
+    return both.withColumn("outcome", outcome)
+
+
+def review_rows(candidates: DataFrame, lists: list[str]) -> DataFrame:
+    """Candidates with each list as one field, its values in order with a bar between."""
+    return candidates.withColumns({c: F.array_join(F.sort_array(c), " | ") for c in lists})

@@ -126,3 +126,44 @@ def coverage(rows: DataFrame, kinds: list[str], kind: str, key: str) -> DataFram
     return all_kinds.join(counts, kind, "left").select(
         kind, F.coalesce("n", F.lit(0)).alias("entity_count"), F.coalesce("keys", F.lit(0)).alias("covered_keys"), (F.coalesce("n", F.lit(0)) > 0).alias("covered")
     )
+
+
+# States of a document that was read, and application counts of a projection.
+SUCCESS = ["completed", "json_completed"]
+APPLICATIONS = [100, 500, 1000]
+
+
+def successful(rows: DataFrame, status: str = "status") -> DataFrame:
+    return rows.where(F.col(status).isin(SUCCESS))
+
+
+def public_entities(entities: DataFrame, mentions: DataFrame, document: str, application: str) -> DataFrame:
+    """Active entities (entity_id, entity_type, status) with the documents and applications that mention them."""
+    seen = mentions.groupBy("entity_id").agg(F.count_distinct(document).alias("document_count"), F.count_distinct(application).alias("application_count"))
+    return entities.where("status = 'active'").join(seen, "entity_id", "left").select(
+        "entity_id", "entity_type", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("document_count", "application_count")]
+    )
+
+
+def package_counts(rows: DataFrame, status: str) -> DataFrame:
+    """One row: how many documents are released, await review, or are withheld."""
+    kinds = {"released": "validated_candidate", "review": "review_required", "withheld": "withheld"}
+    return rows.agg(*[F.count_if(F.col(status) == k).alias(n) for n, k in kinds.items()], F.count(F.lit(1)).alias("documents"))
+
+
+def redaction_quality(rows: DataFrame, status: str = "link_status") -> DataFrame:
+    return rows.groupBy(status).agg(F.count(F.lit(1)).alias("redactions"))
+
+
+def wall_hours(rows: DataFrame, key: str, seconds: str, workers: int = 4) -> DataFrame:
+    """For each key the hours that APPLICATIONS, and as many as were seen, take 1 to `workers` workers, in a straight line."""
+    mean = rows.groupBy(key).agg(F.avg(seconds).alias("_mean"), F.count(seconds).alias("_n"))
+    each = mean.select(key, "_mean", F.explode(F.array_union(F.array(*[F.lit(a).cast("long") for a in APPLICATIONS]), F.array("_n"))).alias("applications"))
+    each = each.select(key, "_mean", "applications", F.explode(F.sequence(F.lit(1), F.lit(workers))).alias("workers"))
+    return each.select(key, "applications", "workers", F.round(F.col("applications") * F.col("_mean") / 3600 / F.col("workers"), 6).alias("projected_hours"))
+
+
+def compared(first: DataFrame, second: DataFrame, metric: str, value: str) -> DataFrame:
+    """Metrics of two runs side by side; which is better is left open."""
+    a, b = first.select(metric, F.col(value).alias("first")), second.select(metric, F.col(value).alias("second"))
+    return a.join(b, metric, "full_outer")
