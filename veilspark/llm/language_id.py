@@ -30,10 +30,10 @@ from veilspark.llm.arrow import held, small_batches
 from veilspark.plans.frames import read_table
 
 DOCS = 200
-DICT_BYTES = 256 << 10
+DICT_BYTES = 128 << 10
 LANGUAGES = 32
-BLOCK = 8 << 10
-LEVEL = 13
+BLOCK = 16 << 10
+LEVEL = 9
 MARGIN = 0.002
 #: Of the score: e-folds for each hundredth by which another language is larger.
 SHARPNESS = 1.5
