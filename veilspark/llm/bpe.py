@@ -35,6 +35,9 @@ from veilspark.plans.frames import read_table
 
 #: Tokens decoded at once; pieces of a generation of remembered ones.
 BLOCK, PIECES = 4096, 70_000
+#: Bounds of what a worker remembers: parts of texts, and states of the transducer. Results don't depend on
+#: them; ROOMY, about 100 MB more a worker, is for a job that has the executor's memory to itself.
+MEMORY, ROOMY = (250_000, 120_000), (600_000, 300_000)
 
 
 def read_ranks(path: str) -> bytes:
@@ -284,14 +287,14 @@ class Utf8Stream:
 class Codec:
     """Encoding and decoding with one vocabulary, for one Python worker."""
 
-    def __init__(self, content: bytes, pattern: str) -> None:
+    def __init__(self, content: bytes, pattern: str, memory: tuple[int, int] = MEMORY) -> None:
         ranks = parse_ranks(content)
-        self.transducer = Transducer(ranks)
+        self.transducer = Transducer(ranks, memory[1])
         self.findall = split_pattern(pattern).findall
         # Ids of pieces met lately, in two generations: when the younger is full, the older goes.
         self.pieces: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
-        self.batches = BatchEncoder(self._encode)
+        self.batches = BatchEncoder(self._encode, memory[0])
         # Bytes of all tokens one after another, and where each one's begin.
         order = sorted(ranks.values())
         sizes = np.zeros(order[-1] + 1 if order else 0, np.int64)
@@ -330,9 +333,9 @@ class Codec:
         stream.end()
 
 
-def codec(content: bytes, pattern: str) -> Codec:
+def codec(content: bytes, pattern: str, memory: tuple[int, int] = MEMORY) -> Codec:
     """This worker's codec, made once for each vocabulary."""
-    return held(("bpe", hashlib.sha256(content + pattern.encode()).digest()), lambda: Codec(content, pattern))
+    return held(("bpe", hashlib.sha256(content + pattern.encode()).digest(), memory), lambda: Codec(content, pattern, memory))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -365,12 +368,14 @@ def digests(use: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memory: tuple[int, int] = MEMORY
+) -> DataFrame:
     """Each document's number of tokens, digest of its ids, and digest of the text decoded from them."""
     content = read_ranks(ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = codec(content, pattern)
+        use = codec(content, pattern, memory)
         for batch in batches:
             for some in slices(batch, 1):
                 yield digests(use, some)
@@ -388,4 +393,4 @@ def default_vocabulary() -> tuple[str, str]:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return round_trip(docs, *default_vocabulary()).withColumnRenamed("id", "doc_id")
+    return round_trip(docs, *default_vocabulary(), memory=ROOMY).withColumnRenamed("id", "doc_id")
