@@ -62,8 +62,28 @@ def test_weights_make_inclusion_unequal(spark):
     assert mean[3.0] == pytest.approx(3 * mean[1.0], rel=0.25)
 
 
-def test_sql_gives_the_same(spark):
-    path = "/root/testdata/sf0.001"
+def test_longer_documents_are_included_more_and_what_is_cut_is_shared_again(spark):
+    rows = [(i, "w " * (3 if i % 3 else 700), "a" if i < 3000 else "b") for i in range(6000)]
+    got = mixing.copies(*mixing.plan(table(spark, rows), weights=(1.0, 1.0), share=0.4)).where("source = 'a'")
+    mean = {r.size: r.c for r in got.groupBy("size").agg(F.avg("copies").alias("c")).collect()}
+    assert mean[700] == pytest.approx(5 * mean[3], rel=0.25)  # 10 and 2 binary digits
+    assert mean[700] < 1
+    goal = got.first().target
+    assert abs(got.agg(F.sum(F.col("copies") * F.col("size"))).first()[0] - goal) <= 700
+    steep = spark.createDataFrame([(i, "w w w", "a", 100.0 if i % 10 == 0 else 1.0) for i in range(3000)], "doc_id long, text string, source string, weight double")
+    taken = mixing.copies(*mixing.plan(steep, weights=(1.0,), share=0.3, weight=F.col("weight")))
+    assert taken.where("weight > 1").agg(F.min("copies")).first()[0] == 1  # certain, whatever the hash
+    assert abs(taken.agg(F.sum(F.col("copies") * 3)).first()[0] - 0.3 * 9000) <= 3
+
+
+def test_every_document_keeps_its_whole_copies(spark):
+    rows = [(i, "w " * (1 + i % 90), "a") for i in range(2000)]
+    got = mixing.copies(*mixing.plan(table(spark, rows)))
+    assert {r.copies for r in got.select("copies").distinct().collect()} == {1, 2}
+
+
+@pytest.mark.parametrize("path", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_sql_gives_the_same(spark, path):
     documents = duckdb.read_parquet(f"{path}/documents.parquet")  # noqa: F841
     want = sorted(duckdb.sql(mixing.ORACLE).fetchall())
     assert sorted(map(tuple, mixing.query(spark, path).collect())) == want
