@@ -298,20 +298,6 @@ def exact_entity_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.exact_entities(customer, "kind", C.word_key(F.col("c_mktsegment"))).select(F.col("c_custkey").alias("party"), "entity_id")
 
 
-_EDGES = "SELECT DISTINCT l_partkey AS src, 100000000 + l_orderkey AS dst FROM lineitem WHERE l_quantity = 50 AND l_discount < 0.01"
-
-
-@query(f"""
-WITH RECURSIVE e AS ({_EDGES}), both_ways AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
-reach(v, c) AS (SELECT a, a FROM both_ways UNION SELECT b, c FROM reach JOIN both_ways ON v = a)
-SELECT v AS vertex, min(c) AS component FROM reach GROUP BY v""")
-def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts and the orders of 50 of them without discount: a sparse graph."""
-    items = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_orderkey", "l_quantity", "l_discount")
-    edges = items.where("l_quantity = 50 AND l_discount < 0.01").select(F.col("l_partkey").alias("src"), (F.col("l_orderkey") + 100_000_000).alias("dst"))
-    return connected_components(edges.distinct())
-
-
 @query()
 def components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts and orders by all lineitem rows; a recursive query makes a row for each pair that is connected, so there is no SQL."""
@@ -331,14 +317,6 @@ def strong_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.conflicts(pairs, sets_, "l_suppkey", "ids").select("left", "right", "conflict")
 
 
-@query("""
-SELECT DISTINCT 'relationship_' || substr(sha256('recommends|customer_' || o_custkey || '|supplier_' || l_suppkey), 1, 20) AS relationship_id,
-  'recommends' AS relationship_type, 'customer_' || o_custkey AS source_id, 'supplier_' || l_suppkey AS target_id
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity > 48""")
-def edge_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolution.relationships(_recommendations(spark, sf_dir).where("l_quantity > 48"), "recommends")
-
-
 @query("""
 SELECT DISTINCT 'relationship_' || substr(sha256('recommends|customer_' || o_custkey || '|supplier_' || l_suppkey), 1, 20) AS relationship_id,
   'recommends' AS relationship_type, 'customer_' || o_custkey AS source_id, 'supplier_' || l_suppkey AS target_id
@@ -596,25 +574,6 @@ def incremental_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.pending(inputs, state, ("doc_id", "stage_fingerprint"))
 
 
-@query("""
-WITH b AS (SELECT vec_id, label AS page, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
-s AS (SELECT c.vec_id AS contact_id, a.vec_id AS anchor_id,
-   min(greatest(0, c.y - (a.y + 0.05)) + 0.5::DOUBLE * (CASE WHEN c.x + 0.05 >= a.x AND a.x + 0.05 >= c.x THEN 0 ELSE least(abs(c.x + 0.05 - a.x), abs(a.x + 0.05 - c.x)) END)) AS score
- FROM b c JOIN b a USING (page) WHERE c.vec_id % 4 = 0 AND a.vec_id % 4 = 1 AND c.y >= a.y - 0.02 AND greatest(0, c.y - (a.y + 0.05)) <= 0.20
-   AND (CASE WHEN c.x + 0.05 >= a.x AND a.x + 0.05 >= c.x THEN 0 ELSE least(abs(c.x + 0.05 - a.x), abs(a.x + 0.05 - c.x)) END) <= 0.25 GROUP BY ALL),
-r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS nx FROM s WINDOW w AS (PARTITION BY contact_id ORDER BY score, anchor_id))
-SELECT b.vec_id AS contact_id, CASE WHEN nx IS NULL OR nx - score >= 0.03 THEN anchor_id END AS anchor_id
-FROM b LEFT JOIN (SELECT * FROM r WHERE k = 1) f ON b.vec_id = f.contact_id WHERE b.vec_id % 4 = 0""".replace("0.05", "0.05::DOUBLE").replace("0.02", "0.02::DOUBLE").replace("0.20", "0.20::DOUBLE").replace("0.25", "0.25::DOUBLE").replace("0.03", "0.03::DOUBLE"))
-def spatial_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings' first two numbers as corners of boxes, labels as pages."""
-    from veilspark.functions.geometry import box
-
-    x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
-    rows = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id"), F.col("label").alias("page"), box(x, y, x + 0.05, y + 0.05).alias("box"))
-    contacts = rows.where("vec_id % 4 = 0").withColumnRenamed("vec_id", "contact_id")
-    return joins.assign_contacts(contacts, rows.where("vec_id % 4 = 1").withColumnRenamed("vec_id", "anchor_id"))
-
-
 @query("""
 WITH b AS (SELECT vec_id, label AS page, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
 p AS (SELECT c.vec_id AS contact_id, a.vec_id AS anchor_id, c.y - a.y AS dy, greatest(0, c.y - (a.y + w)) AS v,
@@ -625,7 +584,7 @@ r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS nx FROM s WINDOW
 SELECT b.vec_id AS contact_id, CASE WHEN nx IS NULL OR nx - score >= 0.03::DOUBLE THEN anchor_id END AS anchor_id
 FROM b LEFT JOIN (SELECT * FROM r WHERE k = 1) f ON b.vec_id = f.contact_id WHERE b.vec_id % 2 = 0""")
 def spatial_assignment_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """spatial_assignment with a role for every row: even ids are contacts, odd ones anchors."""
+    """Embeddings' first two numbers as corners of boxes, labels as pages; even ids are contacts, odd ones anchors."""
     from veilspark.functions.geometry import box
 
     x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
