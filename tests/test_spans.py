@@ -87,3 +87,47 @@ def test_chunks_join_to_the_text(spark, text):
         tail = c.text if len(c.text) == 10 else text[c.offset : c.offset + 10]
         if "\n" in tail[5:]:
             assert c.text.endswith("\n")
+
+
+def test_many_spans_and_long_texts_across_blocks(spark):
+    parts = [PIECES[(i * i + 3 * i) % len(PIECES)] for i in range(900)]
+    text = " ".join(parts) + " " + "ann@example.com" * 3 + " [[URL]] end"
+    df = spark.createDataFrame([(text,)], "text string").withColumn("spans", S.detect(F.col("text")))
+    df = df.withColumn("chosen", S.select_spans(F.col("spans"))).withColumn("masked", S.mask_placeholders(F.col("text")))
+    r = df.withColumn("out", S.substitute(F.col("text"), F.col("chosen"), lambda s: F.concat(F.lit("<"), s["kind"], F.lit(">")))).first()
+    want = plain_detect(text)
+    assert len(want) > 5 * S.BLOCK
+    assert [tuple(s) for s in r.spans] == want
+    chosen = plain_select(want)
+    assert [tuple(s) for s in r.chosen] == chosen
+    out, at = "", 0
+    for s, e, kind, _ in chosen:
+        out, at = out + text[at:s] + f"<{kind}>", e
+    assert r.out == out + text[at:]
+    assert r.masked == re.sub(S.PLACEHOLDER, lambda m: " " * len(m.group()), text)
+
+
+def test_every_match_has_its_hint():
+    assert len(S.HINTS) == len(S.PATTERNS)
+    for piece in PIECES:
+        for (_, p), hint in zip(S.PATTERNS, S.HINTS, strict=True):
+            assert not re.search(p, piece, re.ASCII) or re.search(hint, piece, re.ASCII)
+
+
+def plain_chunks(text, most):
+    out, at = [], 0
+    while at < len(text):
+        whole = text[at : at + most]
+        cut = whole.rfind("\n") + 1 if at + most < len(text) else 0
+        part = whole[:cut] if cut > most // 2 else whole
+        out.append((at, part))
+        at += len(part)
+    return out
+
+
+@pytest.mark.parametrize("most", [10, 37])
+def test_chunks_of_more_than_one_window(spark, most):
+    text = "".join("ß\n" if i % 11 == 0 else "ab"[i % 2] * (i % 5) for i in range(9000))
+    got = one(spark, S.chunks(F.col("t"), most), t=text)
+    assert [tuple(c) for c in got] == plain_chunks(text, most)
+    assert one(spark, S.chunks(F.col("t"), most), t="") == []

@@ -25,6 +25,10 @@ PRIORITY = {
     "email": 100, "unique_identifier": 95, "phone_number": 90, "postal_address": 85, "website": 80, "signature": 75,
     "person_name": 70, "protected_alias": 65, "organization": 60, "work_title": 50, "date": 10,
 }
+# What a text must hold for a pattern of the same place above to match at all; far cheaper to look for.
+HINTS = ["@", r"(?:\d[ .()-]*){10}", r"(?i)://|www\.|\.(?:edu|com|org|net)", r"\d{4}-\d{4}-\d{4}-\d{3}", r"10\.\d{4}"]
+#: Running values are built in blocks of this many, since adding to an array copies it.
+BLOCK = 64
 PLACEHOLDER = r"\[\[[^\]]+\]\]"
 HEADINGS = {
     "education": r"education|academic background|degrees?",
@@ -34,33 +38,76 @@ HEADINGS = {
 }
 
 
-def matches(text: Column, pattern: str | Column, kind: str | Column = "match") -> Column:
+def let(value: Column, body) -> Column:  # noqa: ANN001
+    """body(value), with value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, add, first: int = 0) -> Column:  # noqa: ANN001
+    """For each place of an array of ints, add (sum, greatest: associative) over the values up to it."""
+    none = F.struct(F.lit(first).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, v: Column) -> Column:
+        return let(add(acc["at"], v), lambda at: F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out")))
+
+    def block(b: Column) -> Column:
+        return F.aggregate(F.slice(values, b * BLOCK + 1, F.lit(BLOCK)), none, step)
+
+    def joined(blocks: Column) -> Column:
+        def base(acc: Column, part: Column) -> Column:
+            return F.struct(add(acc["at"], part["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+        bases = F.aggregate(blocks, none, base, lambda acc: acc["out"])
+        return let(bases, lambda at: F.flatten(F.transform(blocks, lambda part, i: F.transform(part["out"], lambda v: add(F.get(at, i), v)))))
+
+    places = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    return F.when(F.size(values) > 0, let(F.transform(places, block), joined)).otherwise(F.array().cast("array<int>"))
+
+
+def in_order(spans: Column) -> Column:
+    """Different spans by start, end and type; equal ones are neighbours after sorting, so none is compared with all."""
+
+    def first_of_each(sorted_: Column) -> Column:
+        return F.filter(sorted_, lambda s, i: (i == 0) | (s != F.get(sorted_, i - 1)))
+
+    return let(spans, lambda all_: F.when(F.size(all_) < 2, all_).otherwise(let(F.array_sort(all_), first_of_each)))
+
+
+def matches(text: Column, pattern: str | Column, kind: str | Column = "match", hint: str | None = None) -> Column:
     """All matches of a pattern that has no empty ones, left to right.
 
     The text between matches and the matches themselves give each one's offset as a running length.
+    A hint is a cheaper pattern that every text with a match also matches.
     """
     regex = F.lit(pattern) if isinstance(pattern, str) else pattern
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    found = F.regexp_extract_all(text, regex, F.lit(0))
-    between = F.split(text, regex, -1)
     empty = F.array().cast(SPAN)
-    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["before"])
-        end = start + F.length(pair["text"])
-        span = F.struct(start.alias("start"), end.alias("end"), kind.alias("kind"), pair["text"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def offsets(found: Column) -> Column:
+        def placed(between: Column) -> Column:
+            sizes = F.transform(found, lambda t, i: F.length(t) + F.length(F.get(between, i)))
+            return let(running(sizes, lambda a, b: a + b), spans_at)
+
+        def spans_at(ends: Column) -> Column:
+            def span(t: Column, i: Column) -> Column:
+                end = F.get(ends, i)
+                return F.struct((end - F.length(t)).alias("start"), end.alias("end"), kind.alias("kind"), t.alias("text"))
+
+            return F.transform(found, span)
+
+        return F.when(F.size(found) > 0, let(F.split(text, regex, -1), placed)).otherwise(empty)
 
-    pairs = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("before"), found.alias("text"))
-    walked = F.aggregate(pairs, first, step, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(empty)
+    out = let(F.regexp_extract_all(text, regex, F.lit(0)), offsets)
+    if hint is None:
+        return out
+    may = F.contains(text, F.lit(hint)) if hint.isalnum() or len(hint) == 1 else text.rlike(hint)
+    return F.when(may, out).when(text.isNotNull(), empty)
 
 
 def detect(text: Column, kinds: list[str] | None = None) -> Column:
     """Spans of all detectors, overlapping ones included, by start, end and type."""
-    each = [matches(text, p, k) for k, p in PATTERNS if kinds is None or k in kinds]
-    return F.array_sort(F.array_distinct(F.concat(*each)))
+    each = [matches(text, p, k, hint) for (k, p), hint in zip(PATTERNS, HINTS, strict=True) if kinds is None or k in kinds]
+    return in_order(F.concat(*each))
 
 
 def overlaps(a: Column, b: Column) -> Column:
@@ -88,23 +135,58 @@ def select_spans(spans: Column, without: tuple[str, ...] = ("date",)) -> Column:
     def add(taken: Column, span: Column) -> Column:
         return F.when(F.exists(taken, lambda t: overlaps(t, span)), taken).otherwise(F.concat(taken, F.array(span)))
 
-    ranked = F.array_sort(open_, order)
-    chosen = F.aggregate(ranked, F.array().cast(SPAN), add)
-    return F.when(F.size(open_) < 2, open_).otherwise(F.array_sort(chosen))
+    def greedy(group: Column) -> Column:
+        chosen = F.aggregate(F.array_sort(group, order), F.array().cast(SPAN), add)
+        return F.when(F.size(group) < 2, group).otherwise(F.array_sort(chosen))
+
+    def grouped(all_: Column) -> Column:
+        """Spans by start fall into groups where one begins at or after all ends before it; only within a group do any overlap."""
+
+        def cut_at(reach: Column) -> Column:
+            begins = F.filter(F.sequence(F.lit(0), F.size(all_) - 1), lambda i: (i == 0) | (F.get(all_, i)["start"] >= F.get(reach, i - 1)))
+            return let(begins, lambda at: F.flatten(F.transform(at, lambda a, k: greedy(F.slice(all_, a + 1, F.coalesce(F.get(at, k + 1), F.size(all_)) - a)))))
+
+        return let(running(F.transform(all_, lambda s: s["end"]), F.greatest), cut_at)
+
+    def chosen_of(all_: Column) -> Column:
+        return F.when(F.size(all_) < 2, all_).otherwise(let(F.array_sort(all_), grouped))
+
+    return let(open_, chosen_of)
 
 
 def substitute(text: Column, spans: Column, replacement) -> Column:  # noqa: ANN001
-    """text with each of the disjoint spans, in text order, replaced; replacement: a function of a span."""
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """text with each of the disjoint spans, in text order, replaced; replacement: a function of a span.
+
+    The text is taken apart in two steps, for blocks of spans and in a block, since reaching a character walks there from the start.
+    """
+
+    def replaced(all_: Column) -> Column:
+        def end_before(i: Column) -> Column:
+            return F.when(i > 0, F.get(all_, i - 1)["end"]).otherwise(0)
 
-    def step(acc: Column, span: Column) -> Column:
-        kept = F.substring(text, acc["at"] + 1, span["start"] - acc["at"])
-        return F.struct(span["end"].alias("at"), F.concat(acc["out"], kept, replacement(span)).alias("out"))
+        def block(b: Column) -> Column:
+            first = b * BLOCK
+            last = F.least(first + BLOCK, F.size(all_)) - 1
 
-    def end(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+            def pieces(at: Column) -> Column:
+                part = F.substring(text, at + 1, F.get(all_, last)["end"] - at)
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, first, step, end)).otherwise(text)
+                def piece(part_: Column) -> Column:
+                    def one(s: Column, j: Column) -> Column:
+                        before = end_before(first + j)
+                        return F.concat(F.substring(part_, before - at + 1, s["start"] - before), replacement(s))
+
+                    return F.array_join(F.transform(F.slice(all_, first + 1, F.lit(BLOCK)), one), "")
+
+                return let(part, piece)
+
+            return let(end_before(first), pieces)
+
+        places = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int"))
+        tail = F.substring(text, F.element_at(all_, -1)["end"] + 1, F.length(text))
+        return F.when(F.size(all_) > 0, F.concat(F.array_join(F.transform(places, block), ""), tail)).otherwise(text)
+
+    return let(spans, replaced)
 
 
 def mask_placeholders(text: Column) -> Column:
@@ -212,16 +294,31 @@ def sections(text: Column) -> Column:
 
 def chunks(text: Column, most: int) -> Column:
     """array<struct<offset, text>>: parts of at most `most` characters, cut after the last line end in
-    their second half where there is one."""
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<offset:int,text:string>>").alias("out"))
-
-    def step(acc: Column, _: Column) -> Column:
-        whole = F.substring(text, acc["at"] + 1, F.lit(most))
-        more = acc["at"] + most < F.length(text)
-        line = F.length(whole) - F.instr(F.reverse(whole), "\n") + 1
-        cut = F.when(more & (F.instr(whole, "\n") > 0) & (line > most // 2), line).otherwise(F.length(whole))
-        part = F.struct(acc["at"].alias("offset"), F.substring(whole, F.lit(1), cut).alias("text"))
-        return F.when(acc["at"] < F.length(text), F.struct((acc["at"] + cut).alias("at"), F.concat(acc["out"], F.array(part)).alias("out"))).otherwise(acc)
-
-    rounds = F.sequence(F.lit(1), F.ceil(F.length(text) / F.lit(most / 2)).cast("int") + 1)
-    return F.aggregate(rounds, first, step, lambda acc: acc["out"])
+    their second half where there is one.
+
+    A window of the text goes along, so that no part is reached from the text's start.
+    """
+    wide = BLOCK * most
+    out = F.array().cast("array<struct<offset:int,text:string>>")
+    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("base"), F.substring(text, F.lit(1), F.lit(wide)).alias("window"), out.alias("out"))
+
+    def walked(total: Column) -> Column:
+        def cut_from(acc: Column) -> Column:
+            def part_of(whole: Column) -> Column:
+                line = F.length(whole) - F.instr(F.reverse(whole), "\n") + 1
+                more = acc["at"] + most < total
+                cut = F.when(more & (F.instr(whole, "\n") > 0) & (line > most // 2), line).otherwise(F.length(whole))
+                return let(cut, lambda n: F.struct((acc["at"] + n).alias("at"), acc["base"].alias("base"), acc["window"].alias("window"), F.concat(
+                    acc["out"], F.array(F.struct(acc["at"].alias("offset"), F.substring(whole, F.lit(1), n).alias("text")))).alias("out")))
+
+            return let(F.substring(acc["window"], acc["at"] - acc["base"] + 1, F.lit(most)), part_of)
+
+        def step(acc: Column, _: Column) -> Column:
+            again = F.struct(acc["at"].alias("at"), acc["at"].alias("base"), F.substring(text, acc["at"] + 1, F.lit(wide)).alias("window"), acc["out"].alias("out"))
+            moved = F.when(acc["at"] + most > acc["base"] + wide, again).otherwise(acc)
+            return F.when(acc["at"] < total, let(moved, cut_from)).otherwise(acc)
+
+        rounds = F.sequence(F.lit(1), F.ceil(total / F.lit(most / 2)).cast("int") + 1)
+        return F.aggregate(rounds, first, step, lambda acc: acc["out"])
+
+    return let(F.length(text), walked)

@@ -52,7 +52,7 @@ def residual(substituted: DataFrame, aliases: DataFrame | None = None, kinds: li
         by_document = usable.groupBy("document_id").agg(F.collect_set("alias").alias("aliases"))
         found = F.flatten(F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: S.alias_occurrences(F.col("masked"), a)))
         scanned = scanned.join(by_document, "document_id", "left")
-        scanned = scanned.withColumn("findings", F.array_sort(F.array_distinct(F.concat("findings", found)))).drop("aliases")
+        scanned = scanned.withColumn("findings", S.in_order(F.concat("findings", found))).drop("aliases")
     return scanned.drop("masked")
 
 
@@ -76,26 +76,26 @@ def model_mentions(found: DataFrame, backend: backends.Backend) -> DataFrame:
     seen = both.withColumn("_seen", plain).drop("model_spans")
     taken = F.filter("_seen", lambda s: s["kind"].isin(ACCEPTED))
     again = F.flatten(F.transform("_taken", lambda s: F.when(S.usable_alias(s["text"]), S.alias_occurrences(F.col("text"), s["text"], s["kind"])).otherwise(F.array().cast(S.SPAN))))
-    out = seen.withColumn("_taken", taken).withColumn("spans", F.array_sort(F.array_distinct(F.concat("spans", "_taken", again))))
+    out = seen.withColumn("_taken", taken).withColumn("spans", S.in_order(F.concat("spans", "_taken", again)))
     review = F.size("_seen") - F.size("_taken")
     return out.withColumns({"accepted": F.array_distinct(F.transform("_taken", lambda s: s["text"])), "review": review}).drop("_seen", "_taken")
 
 
-def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool = True, backend: backends.Backend | None = None) -> DataFrame:
+def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool = True, backend: backends.Backend | None = None, kinds: list[str] | None = None) -> DataFrame:
     """Every document with its counts and status.
 
     With a backend its two scans are part of the gate. Without one, `ner_available` says whether the
-    texts were scanned for names elsewhere; the null backend is no scan.
+    texts were scanned for names elsewhere; the null backend is no scan. With `kinds` only those detectors run.
     """
-    found = mentions(docs)
+    found = mentions(docs, kinds)
     scans = backend is not None and backend is not backends.null_backend
     if scans:
         found = model_mentions(found, backend)
-    scanned = residual(substitute(found), aliases)
+    scanned = residual(substitute(found), aliases, kinds)
     if scans:
         masked = S.mask_placeholders(F.col("redacted"))
         left = F.flatten(F.transform(F.filter("accepted", S.usable_alias), lambda a: S.alias_occurrences(masked, a)))
-        scanned = scanned.withColumn("findings", F.array_sort(F.array_distinct(F.concat("findings", left))))
+        scanned = scanned.withColumn("findings", S.in_order(F.concat("findings", left)))
     review = F.col("review") if scans else F.lit(0)
     ran = scans or (ner_available and backend is None)
     confirmed = F.size("findings")

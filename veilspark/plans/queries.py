@@ -185,6 +185,28 @@ def release_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.gate(documents(spark, sf_dir), ner_available=False).drop("redacted")
 
 
+_LEFT = r"regexp_replace(redacted, '\[\[[^\]]+\]\]', ' ', 'g')"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_spans_sql("coalesce(text, '')", _EMAIL, "email")} AS e, {_spans_sql("coalesce(text, '')", _URL, "website")} AS u
+           FROM documents),
+sel AS (SELECT doc_id, text, len(e) + len(u) AS detected, list_sort(list_concat(e, list_filter(u, lambda w: len(list_filter(e, lambda x:
+          x.start < w.start + length(w.text) AND x.start + length(x.text) > w.start)) = 0))) AS s FROM d),
+cut AS (SELECT doc_id, detected, len(s)::BIGINT AS replaced, coalesce(list_aggregate(list_transform(range(1, len(s) + 1), lambda i: substr(text,
+          (CASE WHEN i = 1 THEN 0 ELSE s[i - 1].start + length(s[i - 1].text) END + 1)::BIGINT,
+          (s[i].start - CASE WHEN i = 1 THEN 0 ELSE s[i - 1].start + length(s[i - 1].text) END)::BIGINT)
+          || CASE s[i].kind WHEN 'email' THEN '[[EMAIL]]' ELSE '[[URL]]' END), 'string_agg', ''), '')
+          || substr(text, coalesce(s[-1].start + length(s[-1].text) + 1, 1)::BIGINT) AS redacted FROM sel),
+seen AS (SELECT *, len(regexp_extract_all({_LEFT}, '{_EMAIL}')) + len(regexp_extract_all({_LEFT}, '{_URL}')) AS confirmed FROM cut)
+SELECT doc_id, detected::BIGINT AS detected_count, replaced AS replacement_count, confirmed::BIGINT AS confirmed_finding_count,
+  sha256(redacted) AS content_sha256, CASE WHEN confirmed > 0 THEN 'withheld' ELSE 'review_required' END AS release_status FROM seen""")
+def release_status_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate with the detectors of mail addresses and sites, whose patterns every SQL engine can run."""
+    docs = documents(spark, sf_dir).select(F.col("doc_id").alias("document_id"), "text")
+    return G.gate(docs, ner_available=False, kinds=["email", "website"]).drop("redacted").withColumnRenamed("document_id", "doc_id")
+
+
 @query()
 def redaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.redactions(G.substitute(G.mentions(documents(spark, sf_dir))))
