@@ -268,28 +268,29 @@ def sections(text: Column) -> Column:
 
     An entry is a line of the body with a year, or one that begins with a bullet or a number.
     """
-    found = headings(text)
 
     def entry(line: Column) -> Column:
         return line.rlike(r"\b(?:19|20)\d{2}\b") | line.rlike(r"^(?:[-*•]|\d+[.)])\s+")
 
-    def with_count(span: Column, i: Column) -> Column:
-        end = F.coalesce(F.get(found, i + 1)["start"], F.length(text))
-        body = F.substring(text, span["start"] + 1, end - span["start"])
-        lines = F.transform(F.slice(F.split(body, r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]"), 2, 1_000_000_000), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
-        count = F.size(F.filter(lines, lambda x: (x != "") & entry(x)))
-        return F.struct(span["kind"].alias("kind"), count.alias("n"))
+    def counted(found: Column) -> Column:
+        def with_count(span: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(found, i + 1)["start"], F.length(text))
+            body = F.substring(text, span["start"] + 1, end - span["start"])
+            lines = F.transform(F.slice(F.split(body, r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]"), 2, 1_000_000_000), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
+            count = F.size(F.filter(lines, lambda x: (x != "") & entry(x)))
+            return F.struct(span["kind"].alias("kind"), count.alias("n"))
 
-    counted = F.transform(found, with_count)
+        return F.transform(found, with_count)
 
-    def last(kind: str) -> Column:
-        mine = F.filter(counted, lambda s: s["kind"] == kind)
+    def last(all_: Column, kind: str) -> Column:
+        mine = F.filter(all_, lambda s: s["kind"] == kind)
         return F.struct(
             F.lit(kind).alias("section"), (F.size(mine) > 0).alias("heading_found"),
             F.when(F.size(mine) > 0, F.element_at(mine, -1)["n"]).otherwise(0).cast("long").alias("candidate_entry_count"),
         )
 
-    return F.array(*[last(k) for k in HEADINGS])
+    # The counts are taken once, whatever reads them.
+    return let(let(headings(text), counted), lambda all_: F.array(*[last(all_, k) for k in HEADINGS]))
 
 
 def chunks(text: Column, most: int) -> Column:
