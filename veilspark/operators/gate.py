@@ -136,11 +136,19 @@ def leak_report(values: DataFrame, id_pattern: str = r"^[a-z]+_[0-9a-f]{16,20}$"
     return findings.groupBy("file").agg(F.sort_array(F.collect_set("finding")).alias("findings"))
 
 
-def audit(scanned: DataFrame, context: int = 80) -> DataFrame:
-    """A row for each finding, with the text around it."""
+def audit(scanned: DataFrame, context: int = 80, structured: DataFrame | None = None) -> DataFrame:
+    """A row for each finding, with the text around it on one line.
+
+    With the values extracted from each document (document_id, value) also whether the finding is one of
+    those, in any case; values under three characters don't count.
+    """
     each = scanned.select("document_id", "redacted", F.explode("findings").alias("f"))
     start = F.greatest(F.col("f.start") - context, F.lit(0))
-    return each.select(
-        "document_id", F.col("f.kind").alias("finding_type"), F.col("f.start").alias("start"), F.col("f.end").alias("end"),
-        F.substring("redacted", start + 1, F.col("f.end") + context - start).alias("context"),
-    )
+    around = F.translate(F.substring("redacted", start + 1, F.col("f.end") + context - start), "\n", " ")
+    place = [F.col("f.kind").alias("finding_type"), F.col("f.start").alias("start"), F.col("f.end").alias("end"), around.alias("context")]
+    if structured is None:
+        return each.select("document_id", *place)
+    value = F.lower(F.trim("value"))
+    known = structured.where(F.length(F.trim("value")) >= 3).select("document_id", value.alias("_value")).distinct()
+    found = each.select("document_id", *place, F.lower("f.text").alias("_value")).join(known.withColumn("_known", F.lit(True)), ["document_id", "_value"], "left")
+    return found.withColumn("matches_structured_extraction", F.coalesce("_known", F.lit(False))).drop("_value", "_known")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from veilspark.functions.scalars import identity_value, is_full_name, is_personal_url, name_parts, stable_id
 from veilspark.operators.graph import connected_components
 from veilspark.operators.sets import disjoint_conflict
+from veilspark.plans.frames import cut
 
 # Confidence of exact evidence, and what fuzzy names need.
 CONFIDENCE = {"person_name": 0.80, "phone_number": 0.90, "website": 0.88}
@@ -85,6 +86,32 @@ def exact_evidence(ids: DataFrame, party: str) -> DataFrame:
     return tied.select("src", F.col(party).alias("dst"), F.element_at(kinds, F.col("identifier_type")).alias("confidence"), F.col("identifier_type").alias("kind")).distinct()
 
 
+def fuzzy_evidence(ids: DataFrame, party: str) -> DataFrame:
+    """(src, dst, confidence, kind): parties of similar names that also share a phone number or a site.
+
+    Of the parties that hold one shared value, each with one of two similar names is tied to the least with the
+    other: two stars, which connect them all, and not each with each.
+    """
+    names = ids.where("identifier_type = 'person_name'").select(party, F.col("normalized_value").alias("name")).distinct()
+    support = ids.where("identifier_type IN ('phone_number', 'website')").select(party, "identifier_type", "normalized_value").distinct()
+    held = cut(names.join(support, party))
+    shared = ["identifier_type", "normalized_value"]
+    least = held.groupBy(*shared, "name").agg(F.min(party).alias("least"))
+    pairs = cut(name_pairs(names, party, "name").select("left_name", "right_name"))
+    both = pairs.unionByName(pairs.select(F.col("right_name").alias("left_name"), F.col("left_name").alias("right_name")))
+    ends = held.join(both, F.col("name") == F.col("left_name")).drop("name", "left_name")
+    tied = ends.join(least.withColumnRenamed("name", "right_name"), [*shared, "right_name"]).where(F.col(party) != F.col("least"))
+    return tied.select(
+        F.least(party, "least").alias("src"), F.greatest(party, "least").alias("dst"),
+        F.lit(FUZZY_CONFIDENCE).alias("confidence"), F.lit("fuzzy_name").alias("kind"),
+    ).distinct()
+
+
+def balanced_evidence(ids: DataFrame, party: str) -> DataFrame:
+    """What constrained_components merges by: equal names, phones and sites, and similar names with support."""
+    return exact_evidence(ids, party).unionByName(fuzzy_evidence(ids, party))
+
+
 def constrained_components(evidence: DataFrame, unique_ids: DataFrame, party: str) -> DataFrame:
     """(party, person): greedy merging by confidence, then ids, that never joins parties with disjoint unique ids.
 

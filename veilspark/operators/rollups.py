@@ -167,3 +167,13 @@ def compared(first: DataFrame, second: DataFrame, metric: str, value: str) -> Da
     """Metrics of two runs side by side; which is better is left open."""
     a, b = first.select(metric, F.col(value).alias("first")), second.select(metric, F.col(value).alias("second"))
     return a.join(b, metric, "full_outer")
+
+
+def seeded_recall(expected: DataFrame, redactions: DataFrame, key: str = "application_id", value: str = "value") -> DataFrame:
+    """One row: how many of the expected identifiers (key, value) were redacted under their key, in any case; 1 if none is expected."""
+    done = redactions.select(key, F.lower(value).alias("_value")).distinct().withColumn("_hit", F.lit(1))
+    met = expected.select(key, F.lower(value).alias("_value")).join(done, [key, "_value"], "left")
+    hits = F.count("_hit").alias("hits")
+    counted = met.agg(F.count(F.lit(1)).alias("expected_identifier_count"), hits)
+    recall = F.when(F.col("expected_identifier_count") > 0, F.col("hits") / F.col("expected_identifier_count")).otherwise(1.0)
+    return counted.withColumn("seeded_identifier_recall", recall)

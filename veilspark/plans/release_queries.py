@@ -9,7 +9,7 @@ from veilspark.functions import scalars as C
 from veilspark.functions import spans as S
 from veilspark.operators import gate, incremental, joins, mentions, resolution, rollups, sets
 from veilspark.plans.frames import read_table
-from veilspark.plans.queries import ORACLE_SQL, QUERIES, query
+from veilspark.plans.queries import _EMAIL, ORACLE_SQL, QUERIES, _spans_sql, documents, query
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -264,3 +264,41 @@ def run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events", "event_type", "value")
     runs = [events.where(c).groupBy(F.col("event_type").alias("metric")).agg(F.count(F.lit(1)).alias("n")) for c in ("value < 50", "value >= 50")]
     return rollups.compared(*runs, "metric", "n")
+
+
+# Ground truth, audit and fuzzy evidence
+
+
+@query("""
+WITH done AS (SELECT DISTINCT o_custkey, lower(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'F')
+SELECT count(*) AS expected_identifier_count, count(v) AS hits, count(v) / count(*) AS seeded_identifier_recall
+FROM orders o LEFT JOIN done ON done.o_custkey = o.o_custkey AND v = lower(o.o_orderpriority)""")
+def seeded_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders' priorities as identifiers that must be redacted; those of finished orders of the customer are."""
+    orders = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderpriority", "o_orderstatus").withColumnRenamed("o_custkey", "application_id")
+    expected = orders.select("application_id", F.upper("o_orderpriority").alias("value"))
+    return rollups.seeded_recall(expected, orders.where("o_orderstatus = 'F'").withColumnRenamed("o_orderpriority", "value"))
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, text, unnest({_spans_sql("text", _EMAIL, "email")}) AS s FROM documents WHERE contains(text, '@'))
+SELECT doc_id, 'email' AS finding_type, s.start AS "start", (s.start + length(s.text))::INT AS "end",
+  replace(substr(text, greatest(s.start - 80, 0)::BIGINT + 1, (s.start + length(s.text) + 80 - greatest(s.start - 80, 0))::BIGINT), chr(10), ' ') AS context,
+  lower(s.text) = lower(regexp_extract(text, '{_EMAIL}')) AS matches_structured_extraction FROM d""")
+def audit_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mail addresses left in documents; each document's first one stands for what was extracted from it."""
+    docs = documents(spark, sf_dir).select(F.col("doc_id").alias("document_id"), F.col("text").alias("redacted"))
+    scanned = docs.withColumn("findings", S.detect(F.col("redacted"), ["email"]))
+    first = scanned.where(F.size("findings") > 0).select("document_id", F.upper(F.get(F.col("findings"), F.lit(0))["text"]).alias("value"))
+    return gate.audit(scanned, structured=first).withColumnRenamed("document_id", "doc_id")
+
+
+@query()
+def fuzzy_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with similar names (a capitalised word and the word after it) that come from the same source, which stands for a shared site."""
+    docs = documents(spark, sf_dir)
+    found = F.explode(F.regexp_extract_all("text", F.lit(r"(?U)\b\p{Lu}\w+[ \t]+\w+"), F.lit(0)))
+    names = docs.select("doc_id", found.alias("name")).select("doc_id", F.lit("person_name").alias("identifier_type"), C.word_key(F.col("name")).alias("normalized_value"))
+    sources = read_table(spark, sf_dir, "documents", "doc_id", "source").where("source IS NOT NULL")
+    sites = sources.select("doc_id", F.lit("website").alias("identifier_type"), F.col("source").alias("normalized_value"))
+    return resolution.fuzzy_evidence(names.unionByName(sites), "doc_id")
