@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilspark.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, periodic_runs, quality, sharding, suffix_dedup, token_files, toxicity
+from veilspark.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, packing, periodic_runs, quality, sharding, suffix_dedup, token_files, toxicity, whitening
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_whitening": whitening.query,
+    "op12_packing": packing.query,
     "op13_periodic_runs": periodic_runs.query,
 }
 
