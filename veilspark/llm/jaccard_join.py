@@ -80,6 +80,17 @@ def shingles(texts: list[str], n: int) -> list[np.ndarray]:
     return out
 
 
+def set_sizes(docs: DataFrame, n: int) -> DataFrame:
+    """(id, n_shingles) of documents (id, text), row by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [len(shingles([text.as_py() or ""], n)[0]) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["id", "n_shingles"])
+
+    return small_batches(docs).mapInArrow(run, "id bigint, n_shingles bigint")
+
+
 def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     """The smallest size of a set that links with one of n, which is also what they must share."""
     return -(-n * percent // 100)
@@ -261,8 +272,11 @@ def components(
 ) -> DataFrame:
     """Each row's id, n_shingles and component_id. Ids are of type long."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # Rows without an id link with nothing, so their sets are counted where they are.
+    nameless = set_sizes(texts.where("id IS NULL"), n).select("id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    texts = texts.where("id IS NOT NULL")
     keyed = cut(same_words(texts)).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-    known = keyed.where("digest IS NOT NULL AND id IS NOT NULL")
+    known = keyed.where("digest IS NOT NULL")
     salted = known.groupBy("digest", "salt").agg(F.min("id").alias("first"))
     least = salted.groupBy("digest").agg(F.min("first").alias("first"))
     spread = cut(salted.select("digest", "salt").join(least, "digest"))
@@ -276,10 +290,10 @@ def components(
     sizes = sets.groupBy("digest").agg(F.max("n").alias("n_shingles"))
     spread = spread.join(sizes, "digest").join(named, "first", "left")
     spread = spread.select("digest", "salt", "n_shingles", F.coalesce("component", "first").alias("component"))
-    return keyed.join(spread, ["digest", "salt"], "left").select(
-        "id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
-    )
+    found = keyed.join(spread, ["digest", "salt"], "left").select(
+        "id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+    )
+    return found.unionByName(nameless)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
