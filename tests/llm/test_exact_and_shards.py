@@ -64,10 +64,29 @@ def test_shards_are_contiguous_and_even(spark, n):
 
 
 def test_written_shards(spark, tmp_path):
-    df = spark.createDataFrame([(i, "w" * i) for i in range(40)], "doc_id long, text string")
+    rows = [(i, "w" * i, "k") for i in range(40)] + [(None, "n", "k"), (None, None, None), (1, "w", "k"), (1, "other", "l"), (2, "z" * 200_000, "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, size string").repartition(3)
     sharding.write_shards(df, str(tmp_path / "s"), shards=4)
     back = spark.read.parquet(str(tmp_path / "s"))
-    assert back.count() == 40 and back.select("shard").distinct().count() == 4
+    assert sorted(map(str, back.select("doc_id", "text", "size").collect())) == sorted(map(str, df.collect()))
+    places = sorted((r.shard, r.slot) for r in back.collect())
+    assert places == [(s, k) for s in sorted({s for s, _ in places}) for k in range(sum(x == s for x, _ in places))]
+    with pytest.raises(ValueError):
+        sharding.write_shards(df.withColumn("slot", F.lit(1)), str(tmp_path / "t"))
+
+
+def test_shards_query_against_plain_prefix_sums(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    got = sharding.query(spark, sf_dir).collect()
+    rows = sorted((r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    total, at, slots, want = sum(len(t) + 8 for _, t in rows), 0, defaultdict(int), []
+    for i, raw in rows:
+        size = len(raw) + 8
+        shard = min(23, (2 * at + size) * 24 // (2 * total))
+        want.append((i, size, zlib.crc32(raw), "bytes", shard, slots[shard], None))
+        slots[shard] += 1
+        at += size
+    assert sorted(map(tuple, got)) == want
 
 
 def test_digest_is_of_utf8(spark):
