@@ -6,7 +6,8 @@ in blocks with each dictionary, and the language whose dictionary gives the fewe
 than `margin` of the best.
 
 Fitting: whole labelled texts of a language, in the order of a hash of their ids, fill its dictionary
-until DICT_BYTES of them are there (only the text that crosses this bound is cut) or DOCS texts are used.
+until DICT_BYTES of them are there (only the text that crosses this bound is cut) or DOCS texts are used;
+equal texts of one id teach once.
 Every language is learned; with more than LANGUAGES of them each one's documents and bytes shrink in
 proportion, so that all dictionaries stay within LANGUAGES * DICT_BYTES.
 
@@ -27,13 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilspark.llm.arrow import held, small_batches
-from veilspark.plans.frames import read_table
+from veilspark.plans.frames import cut, read_table
 
 DOCS = 200
-DICT_BYTES = 128 << 10
+#: Texts of a language that are ranked are about so many times those that can be used, whatever their number.
+RANKED = 8
+DICT_BYTES = 256 << 10
 LANGUAGES = 32
 BLOCK = 16 << 10
-LEVEL = 9
+LEVEL = 13
 MARGIN = 0.002
 #: Of the score: e-folds for each hundredth by which another language is larger.
 SHARPNESS = 1.5
@@ -44,18 +47,43 @@ def fold(id_: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit(""))) % folds
 
 
+def _first(labelled: DataFrame, docs_each: int) -> DataFrame:
+    """(lang, id, h, th, k): of each language the first docs_each texts in the order of (h, id, th), the hashes of id and text.
+
+    Only ids and hashes are moved. All texts with a hash below a bound are ranked, RANKED * docs_each of them on
+    average; only where they turn out too few is the language ranked as a whole.
+    """
+    keys = labelled.select("lang", "id", F.xxhash64("id").alias("h"), F.xxhash64("text").alias("th"))
+    counts = cut(keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))  # a row for each language
+    share = F.least(F.lit(1.0), F.lit(float(RANKED * docs_each)) / F.col("n"))
+    bound = counts.select("lang", "n", (F.lit(-(2.0**63)) + share * F.lit(2.0**64)).alias("bound"))
+    order = Window.partitionBy("lang").orderBy("h", "id", "th")
+
+    def ranked(some: DataFrame) -> DataFrame:
+        return some.distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= docs_each)
+
+    low = cut(ranked(keys.join(bound, "lang").where(F.col("h") <= F.col("bound")).select(*keys.columns)))
+    found = low.groupBy("lang").agg(F.count(F.lit(1)).alias("found"))
+    short = bound.where("bound < 9.2e18").join(found, "lang", "left").where(F.coalesce("found", F.lit(0)) < docs_each).select("lang")
+    if not short.limit(1).count():
+        return low
+    return cut(low.join(short, "lang", "left_anti").unionByName(ranked(keys.join(short, "lang", "left_semi"))))
+
+
 def learn(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language; both the documents and the bytes gathered are bounded."""
     labelled = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    languages = labelled.select(lang_col).distinct().count()
+    labelled = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    languages = labelled.select("lang").distinct().count()
     docs_each = max(1, DOCS * LANGUAGES // max(LANGUAGES, languages))
     bytes_each = max(1, DICT_BYTES * LANGUAGES // max(LANGUAGES, languages))
-    order = Window.partitionBy("lang").orderBy("h", "id", "text")
+    # At most max(DOCS * LANGUAGES, languages) rows of ids and hashes.
+    first = F.broadcast(_first(labelled, docs_each)).alias("f")
+    hashed = labelled.withColumn("th", F.xxhash64("text")).alias("d")
+    same = (F.col("d.lang") == F.col("f.lang")) & F.col("d.id").eqNullSafe(F.col("f.id")) & (F.col("d.th") == F.col("f.th"))
+    order = Window.partitionBy("lang").orderBy("k")
     chosen = (
-        labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
-        .withColumn("k", F.row_number().over(order))
-        .where(F.col("k") <= docs_each)
-        .withColumn("text", F.lower("text"))
+        hashed.join(first, same).select("f.lang", "f.k", F.lower("d.text").alias("text")).dropDuplicates(["lang", "k"])
         .withColumn("before", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
         .where(F.coalesce("before", F.lit(0)) < bytes_each)
     )
