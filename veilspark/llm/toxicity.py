@@ -51,7 +51,7 @@ _MARKS = regex.compile(r"\p{M}+")
 
 
 def fold(text: str) -> str:
-    """The words of a text, folded, with one space before, between and after them; a single space if there are none."""
+    """The words of a text, folded, with one space before, between and after them; two spaces if there are none."""
     if not text.isascii():
         text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
     return f" {_OTHER.sub(' ', text.lower().translate(_FOLD)).strip()} "
@@ -125,12 +125,13 @@ def features(text: str | None) -> list[str]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, most: int) -> DataFrame:
-    """(id, text, toxic) of at most `most` labelled documents of the learning folds."""
+    """(id, text, toxic) of at most `most` labelled ids of the learning folds, each with one of its texts, the one of the least hash."""
     one = labels.where(F.col("toxic").isNotNull()).groupBy("id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("t"))
     known = one.where("toxic = t").drop("t").where(F.col("id").isNotNull()).withColumn("h", F.xxhash64("id"))
     chosen = cut(known.where(train).orderBy("h", "id").limit(most).drop("h"))  # at most `most` rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return cut(texts.join(F.broadcast(chosen), "id"))
+    one_text = F.min(F.struct(F.xxhash64("text"), "text"))
+    return cut(texts.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(one_text.alias("t")).select("id", F.col("t.text").alias("text"), "toxic"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", most: int = DOCS) -> Model:
