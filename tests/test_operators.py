@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veilspark.functions import scalars as C
 from veilspark.functions.geometry import box, horizontal_gap, iou
-from veilspark.operators import backends, gate, incremental, inventory, resolution, sampling, sets
+from veilspark.operators import backends, gate, incremental, inventory, merging, resolution, sampling, sets
 from veilspark.operators.graph import connected_components
 
 
@@ -119,7 +119,7 @@ def test_components_of_random_graphs(spark):
 def test_merging_never_joins_disjoint_ids(spark):
     evidence = spark.createDataFrame([(1, 2, 0.9, "n"), (2, 3, 0.8, "n"), (4, 5, 0.8, "n")], "src long, dst long, confidence double, kind string")
     ids = spark.createDataFrame([(1, "A"), (3, "B"), (4, "C")], "party long, normalized_value string")
-    got = resolution.constrained_components(evidence, ids, "party").collect()
+    got = merging.constrained_components(evidence, ids, "party").collect()
     assert {r.party: r.person for r in got} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspark.functions.scalars import identity_value, is_full_name, is_personal_url, name_parts, stable_id
-from veilspark.operators.graph import connected_components
 from veilspark.operators.sets import disjoint_conflict
 from veilspark.plans.frames import cut
 
@@ -112,39 +111,6 @@ def balanced_evidence(ids: DataFrame, party: str) -> DataFrame:
     return exact_evidence(ids, party).unionByName(fuzzy_evidence(ids, party))
 
 
-def constrained_components(evidence: DataFrame, unique_ids: DataFrame, party: str) -> DataFrame:
-    """(party, person): greedy merging by confidence, then ids, that never joins parties with disjoint unique ids.
-
-    Evidence is split into components first, and each is settled on its own.
-    """
-    whole = connected_components(evidence, "src", "dst")
-    kind = dict(evidence.dtypes)["src"]
-    tied = evidence.join(whole.withColumnRenamed("vertex", "src"), "src")
-    ids = unique_ids.groupBy(party).agg(F.sort_array(F.collect_set("normalized_value")).alias("ids"))
-    members = whole.join(ids.withColumnRenamed(party, "vertex"), "vertex", "left")
-    edges = tied.select("component", "src", "dst", "confidence", F.lit(None).cast("array<string>").alias("ids"))
-    nodes = members.select("component", F.col("vertex").alias("src"), F.lit(None).cast(kind).alias("dst"), F.lit(None).cast("double").alias("confidence"), "ids")
-
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        known = {r.src: set(r.ids) if r.ids is not None else set() for r in rows[rows["dst"].isna()].itertuples()}
-        top = {v: v for v in known}
-
-        def find(v):  # noqa: ANN001, ANN202
-            while top[v] != v:
-                top[v] = top[top[v]]
-                v = top[v]
-            return v
-
-        for r in rows[rows["dst"].notna()].sort_values(["confidence", "src", "dst"], ascending=[False, True, True]).itertuples():
-            a, b = find(r.src), find(type(r.src)(r.dst))
-            if a != b and not (known[a] and known[b] and known[a].isdisjoint(known[b])):
-                low, high = min(a, b), max(a, b)
-                top[high], known[low] = low, known[low] | known[high]
-        return pd.DataFrame({"party": list(top), "person": [find(v) for v in top]})
-
-    return edges.unionByName(nodes).groupBy("component").applyInPandas(settle, f"party {kind}, person {kind}")
-
-
 def conflicts(pairs: DataFrame, sets: DataFrame, party: str, ids: str) -> DataFrame:
     """pairs (left, right) with `conflict`: both have unique ids, and none in common."""
     left = sets.select(F.col(party).alias("left"), F.col(ids).alias("left_ids"))
@@ -158,19 +124,6 @@ def relationships(edges: DataFrame, kind: str) -> DataFrame:
     return edges.select("source_id", "target_id").distinct().select(id_.alias("relationship_id"), F.lit(kind).alias("relationship_type"), "source_id", "target_id")
 
 
-def survivors(members: DataFrame, component: str, id_: str, created: str) -> DataFrame:
-    """The member that a component is named by: the earliest, then the least id."""
-    return members.groupBy(component).agg(F.min_by(id_, F.struct(created, id_)).alias("survivor"), F.count(F.lit(1)).alias("members"))
-
-
-def relabel(rows: DataFrame, columns: list[str], names: DataFrame) -> DataFrame:
-    """rows with retired ids in the columns replaced; names: (old_id, new_id)."""
-    for c in columns:
-        rows = rows.join(names.select(F.col("old_id").alias(c), F.col("new_id").alias("_new")), c, "left")
-        rows = rows.withColumn(c, F.coalesce("_new", c)).drop("_new")
-    return rows
-
-
 def candidate_id(a: Column, b: Column) -> Column:
     """The same whichever party is named first."""
     return stable_id("candidate", F.concat_ws(":", F.least(a, b).cast("string"), F.greatest(a, b).cast("string")))
