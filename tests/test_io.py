@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from veilspark.operators.backends import pattern_backend
 from veilspark.operators.gate import leak_report
 from veilspark.sources import readers, writers
 from veilspark.streaming import ingest
@@ -56,3 +57,9 @@ def test_stream_gates_each_document_once(spark, tmp_path):
         query.awaitTermination(120)
     got = spark.read.parquet(out).select("document_id", "redacted", F.col("release_status")).orderBy("document_id").collect()
     assert [r.redacted for r in got] == ["[[EMAIL]]", "x"]
+    assert [r.release_status for r in got] == ["review_required", "review_required"]
+    named = pattern_backend({"person_name": "x"})
+    query = ingest.gated(ingest.stream(spark, source, "document_id string, text string"), f"{out}-named", str(tmp_path / "other"), named)
+    query.awaitTermination(120)
+    got = spark.read.parquet(f"{out}-named").orderBy("document_id").collect()
+    assert [(r.redacted, r.release_status) for r in got] == [("[[EMAIL]]", "validated_candidate"), ("[[PERSON:None]]", "validated_candidate")]

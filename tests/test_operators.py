@@ -62,10 +62,12 @@ def test_boxes(spark):
 def test_gate_withholds_what_is_left_and_loses_no_document(spark):
     rows = docs(spark, "write to ann@example.com", "plain", "", None)
     aliases = spark.createDataFrame([("d1", "Plain"), ("d0", "plain"), ("d1", "12")], "document_id string, alias string")
-    got = {r.document_id: r for r in gate.gate(rows.fillna(""), aliases).collect()}
+    got = {r.document_id: r for r in gate.gate(rows.fillna(""), aliases, ner_available=True).collect()}
     assert {k: v.release_status for k, v in got.items()} == {"d0": "validated_candidate", "d1": "withheld", "d2": "validated_candidate", "d3": "validated_candidate"}
     assert got["d0"].redacted == "write to [[EMAIL]]"
-    assert {r.release_status for r in gate.gate(rows.fillna(""), None, False).collect()} == {"review_required"}
+    assert {r.release_status for r in gate.gate(rows.fillna("")).collect()} == {"review_required"}
+    some = gate.gate(rows.fillna(""), ner_available=F.when(F.col("document_id") == "d1", F.lit(True)))
+    assert {r.document_id: r.release_status for r in some.collect()} == {"d0": "review_required", "d1": "validated_candidate", "d2": "review_required", "d3": "review_required"}
 
 
 def test_redactions_restore_the_text(spark):

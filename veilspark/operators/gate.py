@@ -81,11 +81,12 @@ def model_mentions(found: DataFrame, backend: backends.Backend) -> DataFrame:
     return out.withColumns({"accepted": F.array_distinct(F.transform("_taken", lambda s: s["text"])), "review": review}).drop("_seen", "_taken")
 
 
-def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool = True, backend: backends.Backend | None = None, kinds: list[str] | None = None) -> DataFrame:
+def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool | Column = False, backend: backends.Backend | None = None, kinds: list[str] | None = None) -> DataFrame:
     """Every document with its counts and status.
 
     With a backend its two scans are part of the gate. Without one, `ner_available` says whether the
-    texts were scanned for names elsewhere; the null backend is no scan. With `kinds` only those detectors run.
+    texts, or which of them, were scanned for names elsewhere; by default none was, so none is validated. The
+    null backend is no scan. With `kinds` only those detectors run.
     """
     found = mentions(docs, kinds)
     scans = backend is not None and backend is not backends.null_backend
@@ -97,12 +98,13 @@ def gate(docs: DataFrame, aliases: DataFrame | None = None, ner_available: bool
         left = F.flatten(F.transform(F.filter("accepted", S.usable_alias), lambda a: S.alias_occurrences(masked, a)))
         scanned = scanned.withColumn("findings", S.in_order(F.concat("findings", left)))
     review = F.col("review") if scans else F.lit(0)
-    ran = scans or (ner_available and backend is None)
+    elsewhere = F.lit(ner_available) if isinstance(ner_available, bool) else F.coalesce(ner_available, F.lit(False))
+    ran = F.lit(True) if scans else elsewhere if backend is None else F.lit(False)
     confirmed = F.size("findings")
     return scanned.select(
         "document_id", F.size("spans").cast("long").alias("detected_count"), F.size("selected").cast("long").alias("replacement_count"),
         confirmed.cast("long").alias("confirmed_finding_count"), F.sha2("redacted", 256).alias("content_sha256"),
-        release_status(confirmed, review, F.lit(ran)).alias("release_status"), "redacted",
+        release_status(confirmed, review, ran).alias("release_status"), "redacted",
     )
 
 

@@ -586,13 +586,14 @@ def outer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT doc_id, sha256(doc_id || '|' || text) AS stage_fingerprint FROM documents d
-WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""")
+WHERE d.doc_id % 3 = 0 OR NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""")
 def incremental_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose stage result is missing: those labelled good stand for the completed ones."""
+    """Documents whose stage result is missing or of another text: those labelled good stand for the completed ones, a third of them with an old text."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     inputs = docs.select("doc_id", F.sha2(F.concat_ws("|", "doc_id", "text"), 256).alias("stage_fingerprint"))
     good = read_table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 1").select("doc_id")
-    state = inputs.join(good, "doc_id").withColumn("status", F.lit("completed"))
+    old = F.when(F.col("doc_id") % 3 == 0, F.sha2(F.col("stage_fingerprint"), 256)).otherwise(F.col("stage_fingerprint"))
+    state = inputs.join(good, "doc_id").withColumns({"status": F.lit("completed"), "stage_fingerprint": old})
     return incremental.pending(inputs, state, ("doc_id", "stage_fingerprint"))
 
 

@@ -187,10 +187,10 @@ def manual_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.decided(pairs, made.unionByName(forged)).select("candidate_id", "outcome")
 
 
-@query("SELECT event_id, user_id FROM events WHERE value < 50 AND user_id NOT IN (SELECT user_id FROM events WHERE value > 99.5)")
+@query("SELECT event_id, user_id FROM events WHERE value < 50 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 997 = 0)")
 def without_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events", "event_id", "user_id", "value")
-    return sets.without_rejected(events.where("value < 50"), events.where("value > 99.5"), "user_id").select("event_id", "user_id")
+    return sets.without_rejected(events.where("value < 50"), events.where("event_id % 997 = 0"), "user_id").select("event_id", "user_id")
 
 
 @query("""
