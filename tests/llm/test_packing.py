@@ -46,9 +46,13 @@ def test_encoder_is_the_library():
     rng = random.Random(3)
     letters = "aZé́ß1 \t\n'sS.\x00\x1cİ<|>"
     texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
-    ids, ends = packing.WordEncoder(packing.read_tokenizer(PATH)).encode(pa.array(texts, pa.string()))
-    for k, text in enumerate(texts):
-        assert ids[ends[k] : ends[k + 1]].tolist() == plain_ids(text)[:-1], text
+    for plain in (True, False):
+        encoder = packing.WordEncoder(packing.read_tokenizer(PATH))
+        assert encoder.words is not None
+        encoder.words = encoder.words if plain else None
+        ids, ends = encoder.encode(pa.array(texts, pa.string()))
+        for k, text in enumerate(texts):
+            assert ids[ends[k] : ends[k + 1]].tolist() == plain_ids(text)[:-1], text
 
 
 def laid_out(counts, capacity):

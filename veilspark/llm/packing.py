@@ -23,6 +23,7 @@ them; other columns are left out, so their names can't clash.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
@@ -44,15 +45,25 @@ from veilspark.plans.frames import cut, read_table
 CAPACITY = 4096
 END_ID = 1
 #: Parts joined in one text for the library, and what stands between them; bytes of text handled at once.
-JOINED, SLICE_BYTES = 512, 8 << 20
+JOINED, SLICE_BYTES = 64, 8 << 20
 _MARK = "\x00"
+#: How tokenizers of this family make words of a text, as their files state it.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+_END = "</w>"
+#: Parts of these characters only have one lower case and one normal form; the same words in this smaller alphabet.
+_PLAIN = "^[!-~\u00c0-\u00ff]*$"
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN_WORDS = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+)"
 
 
 class WordEncoder:
     """Ids of whole texts by a tokenizer whose tokens never hold or look across white space.
 
     Texts are cut at ASCII white space and each distinct part of a slice is encoded once, many in one
-    call with a mark between them that is a token of its own.
+    call with a mark between them that is a token of its own. Where the tokenizer is of the family above, parts of
+    plain characters are lowered and cut into words here, and the library gets each distinct word.
     """
 
     def __init__(self, content: str) -> None:
@@ -64,32 +75,79 @@ class WordEncoder:
         if len(probe[2]) != 1 or not np.array_equal(probe[0], probe[1]):
             raise ValueError("this tokenizer doesn't drop white space")
         self.mark = int(probe[2][0])
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        spec = json.loads(content)
+        cutter = {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}
+        self.words: Tokenizer | None = None
+        if (
+            spec["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZER}
+            and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [cutter, _BYTES]}
+            and spec["model"]["end_of_word_suffix"] == _END
+        ):
+            words = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, _BYTES]}
+            self.words = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": words, "added_tokens": []}))
+            vocabulary = self.words.get_vocab()
+            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends_word[[i for x, i in vocabulary.items() if x.endswith(_END)]] = True
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of parts, and where each one's begin and how many they are."""
-        marked = pc.match_substring(parts, _MARK)
-        odd = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
-        plain = pc.if_else(marked, "", parts)
-        edges = np.append(np.arange(0, len(parts), JOINED), len(parts))
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), plain), pa.scalar(f" {_MARK} ", parts.type))
+    def _plain_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain parts, one after another, and how many each has."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(parts), _PLAIN_WORDS, r"\1 ")
+        split = pc.split_pattern(spaced, " ")
+        flat, edges = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+        full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+        seen = flat.filter(pa.array(full)).dictionary_encode()
+        words = seen.dictionary.to_pylist()
+        joined = [" ".join(words[k : k + JOINED]) for k in range(0, len(words), JOINED)]
+        found = [np.array(x.ids, np.uint32) for x in self.words.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *found])
+        stops = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(stops) != len(words):
+            raise ValueError("the tokenizer's words don't end in a token of their own")
+        sizes, place = np.diff(stops, prepend=0), seen.indices.to_numpy()
+        tokens = np.concatenate([[0], np.cumsum(sizes[place])])[np.concatenate([[0], np.cumsum(full)])[edges]]
+        return ids[ragged(stops[place] - sizes[place], sizes[place])], np.diff(tokens)
+
+    def _marked_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any parts, one after another, and how many each has."""
+        listed = parts.to_pylist()
+        odd = [k for k, x in enumerate(listed) if _MARK in x]
+        own = dict(zip(odd, self._ids([listed[k] for k in odd]), strict=True))
+        for k in odd:
+            listed[k] = ""
+        joined = [f" {_MARK} ".join(listed[k : k + JOINED]) for k in range(0, len(listed), JOINED)]
         found = [np.zeros(0, np.uint32)]
-        for ids in self._ids(joined.to_pylist()):
+        for ids in self._ids(joined):
             found += [ids, np.array([self.mark], np.uint32)]
         ids = np.concatenate(found)
         stops = np.flatnonzero(ids == self.mark)
-        if len(stops) != len(parts):
+        if len(stops) != len(listed):
             raise ValueError("the tokenizer joins parts with the mark between them")
-        starts = np.append(0, stops + 1)[:-1]
-        lengths = stops - starts
-        if len(odd):
-            own = self._ids(parts.take(pa.array(odd)).to_pylist())
-            lengths[odd] = [len(x) for x in own]
-            starts[odd] = len(ids) + np.cumsum(lengths[odd]) - lengths[odd]
-            ids = np.concatenate([ids, *own])
-        return ids, starts, lengths
+        sizes = np.diff(stops, prepend=-1) - 1
+        if odd:
+            each = np.split(ids, stops + 1)[:-1]
+            each = [own.get(k, x[:-1]) for k, x in enumerate(each)]
+            return np.concatenate(each), np.array([len(x) for x in each])
+        return ids[ids != self.mark], sizes
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts, and where each one's begin and how many they are."""
+        plain = pa.array(np.zeros(len(parts), bool))
+        if self.words is not None:
+            plain = pc.match_substring_regex(parts, _PLAIN)
+            for token in self.special:
+                plain = pc.and_not(plain, pc.match_substring(parts, token))
+        some = plain.to_numpy(zero_copy_only=False)
+        lengths, starts, ids, before = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64), [], 0
+        for chosen, encode in ((some, self._plain_parts if self.words is not None else self._marked_parts), (~some, self._marked_parts)):
+            here, sizes = encode(parts.filter(pa.array(chosen)))
+            lengths[chosen], starts[chosen] = sizes, before + np.cumsum(sizes) - sizes
+            ids.append(here)
+            before += len(here)
+        return np.concatenate(ids), starts, lengths
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none), and each text's end among them after a leading 0."""
