@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilspark.operators import gate, graph, lines, merging
+from veilspark.operators import gate, graph, identity, lines, merging
 from veilspark.plans.frames import read_table
 from veilspark.plans.projection_queries import ORACLE_SQL, QUERIES
 from veilspark.plans.queries import _EMAIL, documents, query
@@ -97,3 +97,19 @@ def phrase_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("box"), F.lit(8).alias("max_words"),
     )
     return lines.phrases(seen, table, 0.76).select("wanted_id", "phrase", F.round("score", 6).alias("score"), "line")
+
+
+@query()
+def identity_in_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as parties: mail by customer where finished, phones shared by customers, ids that some of them must agree on; odd keys come later."""
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    party, customer = F.col("o_orderkey").alias("party"), F.col("o_custkey")
+
+    def ids(rows: DataFrame, kind: str, value: Column) -> DataFrame:
+        return rows.select(party, F.lit(kind).alias("identifier_type"), value.alias("normalized_value"), F.lit(True).alias("verified"))
+
+    rows = ids(orders.where("o_orderstatus = 'F'"), "email", F.concat(F.lit("c"), customer.cast("string"), F.lit("@x.org")))
+    rows = rows.unionByName(ids(orders.where("o_orderstatus <> 'F'"), "phone_number", (F.lit(5_550_000_000) + F.floor(customer / 3)).cast("string")))
+    rows = rows.unionByName(ids(orders.where("o_orderkey % 4 = 0"), "unique_identifier", F.concat(F.lit("u"), customer.cast("string"))))
+    first, later = rows.where("party % 2 = 0"), rows.where("party % 2 = 1")
+    return identity.resolve_more(first, identity.resolve(first, "party"), later, "party")[1]
