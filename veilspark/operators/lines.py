@@ -31,15 +31,17 @@ def word_table(docs: DataFrame, page_lines: int = 60) -> DataFrame:
 def lines(words: DataFrame) -> DataFrame:
     """A row per line (document_id, page, block, line): its words in order, each with its place in `text`, and its box."""
     grouped = words.groupBy(*LINE).agg(F.array_sort(F.collect_list(F.struct("number", "text", "box"))).alias("w"))  # one line of a page
-    ends = S.running(F.transform("w", lambda w: F.length(w["text"]) + 1), lambda a, b: a + b)
-    placed = grouped.withColumn("ends", ends)
 
-    def word(w: Column, i: Column) -> Column:
-        end = F.get(F.col("ends"), i) - 1
-        return F.struct((end - F.length(w["text"])).alias("start"), end.alias("end"), w["text"].alias("text"), w["box"].alias("box"))
+    def placed(ends: Column) -> Column:
+        def word(w: Column, i: Column) -> Column:
+            end = F.get(ends, i) - 1
+            return F.struct((end - F.length(w["text"])).alias("start"), end.alias("end"), w["text"].alias("text"), w["box"].alias("box"))
+
+        return F.transform("w", word)
 
+    ends = S.running(F.transform("w", lambda w: F.length(w["text"]) + 1), lambda a, b: a + b)
     text = F.array_join(F.transform("w", lambda w: w["text"]), " ").alias("text")
-    return placed.select(*LINE, text, F.transform("w", word).alias("words"), around(F.transform("w", lambda w: w["box"])).alias("box"))
+    return grouped.select(*LINE, text, S.let(ends, placed).alias("words"), around(F.transform("w", lambda w: w["box"])).alias("box"))
 
 
 def around(boxes: Column) -> Column:
@@ -95,16 +97,28 @@ def phrases(wanted: DataFrame, lines_: DataFrame, least: float = 0.0) -> DataFra
     count = F.size(F.filter(F.split(F.trim("value"), r"\s+"), lambda t: t != ""))
     low = F.greatest(F.lit(1), count - FEWER)
     high = F.least(F.size("words"), F.col("max_words"), count + MORE)
-    sized = both.withColumn("size", F.explode(F.when(low <= high, F.sequence(low, high))))
-    runs = sized.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("size"))))
-    chosen = F.slice("words", F.col("start") + 1, F.col("size"))
-    runs = runs.withColumn("phrase", F.array_join(F.transform(chosen, lambda w: w["text"]), " "))
-    runs = runs.withColumns({"a": compact_text(F.col("value")), "b": compact_text(F.col("phrase"))})
-    reach = 2 * F.least(F.length("a"), F.length("b")) >= F.lit(least) * (F.length("a") + F.length("b"))
-    scored = runs.where(reach).withColumn("score", similarity("a", "b")).where((F.col("score") > 0) & (F.col("score") >= least))
+
+    def run(start: Column, size: Column) -> Column:
+        # Words by their place: taking a slice of a long line costs as much as the line.
+        chosen = F.transform(F.sequence(start, start + size - 1), lambda i: F.get(F.col("words"), i))
+        phrase = F.array_join(F.transform(chosen, lambda w: w["text"]), " ")
+        return F.struct(size.alias("size"), start.alias("start"), phrase.alias("phrase"), around(F.transform(chosen, lambda w: w["box"])).alias("box"))
+
+    def runs_of(size: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size("words") - size), lambda start: run(start, size))
+
+    each = both.where(low <= high).withColumn("run", F.explode(F.flatten(F.transform(F.sequence(low, high), runs_of))))
+    # Lines go no further than here: a row is one run of words.
+    runs = each.select("wanted_id", "block", "line", "run.*", compact_text(F.col("value")).alias("a"))
+    runs = runs.withColumn("b", compact_text(F.col("phrase")))
+    both_lengths = F.length("a") + F.length("b")
+    reach = 2 * F.least(F.length("a"), F.length("b")) >= F.lit(least) * both_lengths
+    # Characters matched in order are no more than half of what both lengths have over the edit distance.
+    edits = F.levenshtein("a", "b") <= (1 - least) * both_lengths + 1e-9
+    near_enough = runs.where(reach).where(edits) if least > 0 else runs
+    scored = near_enough.withColumn("score", similarity("a", "b")).where((F.col("score") > 0) & (F.col("score") >= least))
     rank = F.struct("score", *[(-F.col(c)).alias(c) for c in ("block", "line", "size", "start")])
-    box = around(F.transform(chosen, lambda w: w["box"]))
-    best = scored.groupBy("wanted_id").agg(F.max(F.struct(rank.alias("rank"), "phrase", box.alias("box"))).alias("best"))
+    best = scored.groupBy("wanted_id").agg(F.max(F.struct(rank.alias("rank"), "phrase", "box")).alias("best"))
     return best.select("wanted_id", "best.phrase", "best.box", F.col("best.rank.score").alias("score"), (-F.col("best.rank.line")).alias("line"))
 
 
@@ -141,7 +155,7 @@ def grounded(found: DataFrame, lines_: DataFrame, pages: DataFrame, margin: floa
     each = found.join(pages, ["document_id", "page"]).join(read, ["document_id", "page"], "left")
     words = F.when(kind == "postal_address", MOST_WORDS_ADDRESS).otherwise(MOST_WORDS)
     asked = each.where((kind != "signature") & F.col("box").isNotNull() & (area <= LARGEST_SHARE) & F.col("has_words"))
-    near = phrases(asked.select("wanted_id", "document_id", "page", "value", "box", words.alias("max_words")), lines_)
+    near = phrases(asked.select("wanted_id", "document_id", "page", "value", "box", words.alias("max_words")), lines_, min(LEAST_ELSE, *LEAST.values()))
     each = each.join(near.select("wanted_id", "phrase", F.col("box").alias("phrase_box"), "score"), "wanted_id", "left")
     patterns = {k: p for k, p in S.PATTERNS if k in ("email", "phone_number", "website", "unique_identifier")}
     exact = F.col("phrase")

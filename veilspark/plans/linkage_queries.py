@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from veilspark.functions import geometry
 from veilspark.operators import gate, graph, identity, lines, merging
 from veilspark.plans.frames import read_table
 from veilspark.plans.projection_queries import ORACLE_SQL, QUERIES
@@ -89,12 +90,12 @@ def line_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def phrase_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For the third word and the three after it of every line that has them, read with an error, the phrase near where it was seen."""
+    """For the third word and the three after it of every line that has them, read with an error, the phrase in the line where it was seen."""
     table = lines.lines(lines.word_table(documents(spark, sf_dir)))
     seen = table.where(F.size("words") >= 6).select(
         F.concat_ws(":", "document_id", "line").alias("wanted_id"), "document_id", "page",
         F.regexp_replace(F.array_join(F.transform(F.slice("words", 3, 4), lambda w: w["text"]), " "), "e", "c").alias("value"),
-        F.col("box"), F.lit(8).alias("max_words"),
+        geometry.expand(F.col("box"), -3.0).alias("box"), F.lit(8).alias("max_words"),
     )
     return lines.phrases(seen, table, 0.76).select("wanted_id", "phrase", F.round("score", 6).alias("score"), "line")
 
