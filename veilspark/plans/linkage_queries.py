@@ -1,12 +1,13 @@
-"""Queries of merging, chains, lines and phrases, and of the gate with aliases, with SQL that gives the same rows."""
+"""Queries of merging, chains, lines, phrases and citations, of the gate with aliases and of repair, with SQL that gives the same rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilspark.functions import geometry
-from veilspark.operators import gate, graph, identity, lines, merging
+from veilspark.functions import citations, geometry
+from veilspark.functions import spans as S
+from veilspark.operators import gate, graph, identity, lines, merging, repair
 from veilspark.plans.frames import read_table
 from veilspark.plans.projection_queries import ORACLE_SQL, QUERIES
 from veilspark.plans.queries import _EMAIL, documents, query
@@ -114,3 +115,57 @@ def identity_in_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.unionByName(ids(orders.where("o_orderkey % 4 = 0"), "unique_identifier", F.concat(F.lit("u"), customer.cast("string"))))
     first, later = rows.where("party % 2 = 0"), rows.where("party % 2 = 1")
     return identity.resolve_more(first, identity.resolve(first, "party"), later, "party")[1]
+
+
+_CITED = """
+SELECT o_orderkey // 20 AS block, o_orderkey, o_orderstatus,
+  concat(upper(substr(o_orderpriority, 3, 1)), lower(replace(substr(o_orderpriority, 4), ' ', '')), chr((97 + o_orderkey % 26)::INT), ', ', chr((65 + o_orderkey % 26)::INT), '.',
+    CASE o_orderstatus WHEN 'F' THEN concat(' ', year(o_orderdate), ', Journal of Orders  no. ', o_orderkey) WHEN 'P' THEN concat(' ', year(o_orderdate)) ELSE '' END) AS words,
+  CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0 THEN '. AWARDS Prize of 1999; ' ELSE '; ' END AS after
+FROM orders"""
+
+
+@query(f"""
+WITH c AS ({_CITED}),
+m AS (SELECT *, coalesce(sum((o_orderstatus <> 'O')::INT) OVER (PARTITION BY block ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece,
+    coalesce(sum(length(words) + length(after)) OVER (PARTITION BY block ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM c)
+SELECT block, (min(pos) + 10)::INT AS "start", (max(pos + length(words)) + 10)::INT AS "end",
+  replace(string_agg(words, '; ' ORDER BY o_orderkey), '  ', ' ') AS citation
+FROM m GROUP BY block, piece HAVING bool_or(o_orderstatus = 'F')""")
+def scholarly_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty orders as a block of citations: authors, those of finished orders with a year and a journal, some with a heading after them."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    name = F.initcap(F.replace(F.substring("o_orderpriority", 3, 100), F.lit(" "), F.lit("")))
+    author = F.concat(name, F.char(F.lit(97) + key % 26), F.lit(", "), F.char(F.lit(65) + key % 26), F.lit("."))
+    year = F.concat(F.lit(" "), F.year("o_orderdate").cast("string"))
+    rest = F.when(status == "F", F.concat(year, F.lit(", Journal of Orders  no. "), key.cast("string"))).when(status == "P", year).otherwise("")
+    after = F.when((status == "F") & (key % 5 == 0), ". AWARDS Prize of 1999; ").otherwise("; ")
+    cited = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    cited = cited.select(F.floor(key / 20).alias("block"), key, F.concat(author, rest, after).alias("part"))
+    # A key stands once in the table, so a block has at most twenty rows.
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "part"))), lambda p: p["part"])
+    blocks = cited.groupBy("block").agg(F.concat(F.lit("__Papers__"), F.array_join(parts, "")).alias("value"))
+    each = blocks.select("block", F.explode(citations.scholarly_pieces(F.col("value"))).alias("p"))
+    return each.select("block", F.col("p.start").alias("start"), F.col("p.end").alias("end"), F.col("p.text").alias("citation"))
+
+
+@query(f"""
+WITH d AS (SELECT d.doc_id, lower(coalesce(d.text, '')) AS t, lower(regexp_extract(p.text, '{_WORD}')) AS v
+  FROM documents d LEFT JOIN documents p ON p.doc_id = d.doc_id - 1),
+f AS (SELECT doc_id, v IS NOT NULL AND v <> '' AND regexp_matches(t, '(^|[^\\pL\\pN_])' || v || '([^\\pL\\pN_]|$)') AS whole,
+  v IS NOT NULL AND v <> '' AND regexp_matches(t, '[\\pL\\pN_]' || v || '|' || v || '[\\pL\\pN_]') AS part FROM d)
+SELECT doc_id, CASE WHEN part THEN 'review' ELSE 'passed' END AS status, CASE WHEN whole THEN 2 ELSE 1 END AS checks,
+  CASE WHEN part THEN 1 ELSE 0 END AS unplaced_count FROM f""")
+def qa_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A check that reports the first word of the document before wherever its letters stand: whole words are repaired, parts of longer ones left to a person."""
+    docs = documents(spark, sf_dir)
+    names = docs.select((F.col("doc_id") + 1).alias("doc_id"), F.regexp_extract("text", _WORD, 0).alias("name")).where("name <> ''")
+    names = names.join(docs.select("doc_id", "document_id"), "doc_id").select("document_id", "name")
+
+    def check(rows: DataFrame) -> DataFrame:
+        seen = F.contains(F.lower("masked"), F.lower("name"))
+        report = F.array(F.struct(F.col("name").alias("text"), F.lit("person_name").alias("kind")))
+        return rows.join(names, "document_id", "left").withColumn("flagged", F.when(seen, report))
+
+    found = repair.repair(docs.select("document_id", "text", F.array().cast(S.SPAN).alias("spans")), check)
+    return found.join(docs.select("doc_id", "document_id"), "document_id").select("doc_id", "status", "checks", "unplaced_count")
