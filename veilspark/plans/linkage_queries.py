@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veilspark.functions import citations, geometry
 from veilspark.functions import spans as S
-from veilspark.operators import gate, graph, identity, lines, merging, repair
+from veilspark.operators import extraction, gate, graph, identity, lines, merging, repair
 from veilspark.plans.frames import read_table
 from veilspark.plans.projection_queries import ORACLE_SQL, QUERIES
 from veilspark.plans.queries import _EMAIL, documents, query
@@ -169,3 +169,109 @@ def qa_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = repair.repair(docs.select("document_id", "text", F.array().cast(S.SPAN).alias("spans")), check)
     return found.join(docs.select("doc_id", "document_id"), "document_id").select("doc_id", "status", "checks", "unplaced_count")
+
+
+_ANSWERED = """
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, nullif(regexp_extract(text, '[A-Za-z]{4,}'), '') AS a,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]{4,}')[3] AS b FROM documents),
+d AS (SELECT *, strpos(t, a) - 1 AS p, strpos(t, a) + 399 <= length(t) AS fits FROM w),
+n AS (SELECT *, CASE WHEN fits THEN substr(t, p + 1, 400) ELSE t END AS part, CASE WHEN fits THEN p ELSE 0 END AS base FROM d)"""
+
+
+def _answers(docs: DataFrame) -> DataFrame:
+    """docs with `response`, an answer as a model saves it, made of the first and third word of each text: some have right
+    offsets, some wrong ones, some answers are cut off, some missing, some have a confidence above 1."""
+    word = r"[A-Za-z]{4,}"
+    docs = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("_a", F.nullif(F.regexp_extract("text", word, 0), F.lit("")))
+    docs = docs.withColumn("_b", F.get(F.regexp_extract_all("text", F.lit(word), F.lit(0)), F.lit(2)))
+    docs = docs.withColumn("_p", F.expr("locate(_a, text) - 1"))
+
+    def field(value: Column, status: Column | None = None, start: Column | None = None, end: Column | None = None, sure: Column | None = None) -> Column:
+        status = F.lit("found") if status is None else status
+        none = F.lit(None).cast("int")
+        return F.struct(
+            value.cast("string").alias("value"), status.alias("status"), (F.lit(0.75) if sure is None else sure).alias("model_confidence"),
+            (none if start is None else start).alias("start"), (none if end is None else end).alias("end"),
+        )
+
+    a, b, p = F.col("_a"), F.col("_b"), F.col("_p")
+    absent = field(F.lit(None), F.lit("not_found"))
+    third = F.when(b.isNull(), "not_found").otherwise("found")
+    sure = F.when(F.col("doc_id") % 11 == 3, 1.5).otherwise(0.75)
+    education = F.struct(
+        field(a, start=p, end=p + F.length(a), sure=sure).alias("institution"), field(F.upper(a), start=p, end=p + F.length(a)).alias("degree_type"),
+        field(b, third, F.lit(0), F.lit(1)).alias("field"), absent.alias("start_year"), absent.alias("end_year"), field(F.lit("1999")).alias("graduation_year"),
+        F.lit(0.5).alias("model_confidence"), p.alias("start"), (p + 400).alias("end"),
+    )
+    author = F.struct(field(a).alias("name"), F.lit(1).alias("author_position"), F.lit(True).alias("is_applicant"))
+    publication = F.struct(
+        field(b, third).alias("title"), absent.alias("doi"), field(F.lit("report")).alias("publication_type"), absent.alias("year"), absent.alias("venue"),
+        F.array(author).alias("authors"), F.lit(0.5).alias("model_confidence"),
+    )
+
+    def section(items: Column | None) -> Column:
+        status = F.lit("not_found" if items is None else "found").alias("status")
+        return F.struct(status, F.lit(0.5).alias("model_confidence"), *([] if items is None else [F.array(items).alias("items")]))
+
+    sections = F.struct(section(education).alias("education"), section(None).alias("employment"), section(publication).alias("publications"))
+    proposal = F.struct(
+        F.lit("person_name").alias("identifier_type"), F.lit("applicant").alias("person_role"), F.coalesce(b, F.lit("")).alias("text"),
+        F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0.5).alias("model_confidence"),
+    )
+    answer = F.to_json(F.struct(sections.alias("sections"), F.array(proposal).alias("mentions")))
+    saved = F.when(F.col("doc_id") % 11 == 5, F.left(answer, F.length(answer) - 5)).when(F.col("doc_id") % 11 != 7, answer)
+    return docs.withColumn("response", saved).drop("_a", "_b", "_p")
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return extraction.parse(extraction.read(_answers(docs)), "doc_id")
+
+
+@query(_ANSWERED + """,
+f AS (SELECT doc_id, unnest([
+  {'section': 'education', 'name': 'institution', 'value': a, 'status': 'found', 'start': p, 'flag': NULL},
+  {'section': 'education', 'name': 'degree_type', 'value': upper(a), 'status': 'found', 'start': p, 'flag': NULL},
+  {'section': 'education', 'name': 'field', 'value': b, 'start': CASE WHEN len(regexp_extract_all(part, '(?i)' || b)) = 1
+     THEN base + length(string_split_regex(part, '(?i)' || b)[1]) END, 'status': NULL,
+   'flag': CASE WHEN b IS NULL THEN NULL WHEN len(regexp_extract_all(part, '(?i)' || b)) <> 1 THEN 'ungrounded_value'
+     WHEN fits THEN 'offset_recovered_by_bounded_exact_match' ELSE 'offset_recovered_by_unique_exact_match' END},
+  {'section': 'education', 'name': 'start_year', 'value': NULL, 'status': 'not_found', 'start': NULL, 'flag': NULL},
+  {'section': 'education', 'name': 'end_year', 'value': NULL, 'status': 'not_found', 'start': NULL, 'flag': NULL},
+  {'section': 'education', 'name': 'graduation_year', 'value': '1999', 'status': NULL, 'start': CASE WHEN len(regexp_extract_all(part, '1999')) = 1
+     THEN base + length(string_split(part, '1999')[1]) END,
+   'flag': CASE WHEN len(regexp_extract_all(part, '1999')) <> 1 THEN 'ungrounded_value'
+     WHEN fits THEN 'offset_recovered_by_bounded_exact_match' ELSE 'offset_recovered_by_unique_exact_match' END},
+  {'section': 'publications', 'name': 'title', 'value': b, 'status': NULL, 'start': CASE WHEN len(regexp_extract_all(t, '(?i)' || b)) = 1
+     THEN length(string_split_regex(t, '(?i)' || b)[1]) END,
+   'flag': CASE WHEN b IS NULL THEN NULL WHEN len(regexp_extract_all(t, '(?i)' || b)) <> 1 THEN 'ungrounded_value' ELSE 'offset_recovered_by_unique_exact_match' END},
+  {'section': 'publications', 'name': 'doi', 'value': NULL, 'status': 'not_found', 'start': NULL, 'flag': NULL},
+  {'section': 'publications', 'name': 'publication_type', 'value': 'report', 'status': 'found', 'start': NULL, 'flag': 'controlled_or_derived_value'},
+  {'section': 'publications', 'name': 'year', 'value': NULL, 'status': 'not_found', 'start': NULL, 'flag': NULL},
+  {'section': 'publications', 'name': 'venue', 'value': NULL, 'status': 'not_found', 'start': NULL, 'flag': NULL},
+  {'section': 'publications', 'name': 'author', 'value': a, 'status': NULL, 'start': CASE WHEN len(regexp_extract_all(t, '(?i)' || a)) = 1 THEN p END,
+   'flag': CASE WHEN len(regexp_extract_all(t, '(?i)' || a)) <> 1 THEN 'ungrounded_value' ELSE 'offset_recovered_by_unique_exact_match' END}]) AS f
+  FROM n WHERE a IS NOT NULL AND doc_id % 11 NOT IN (3, 5, 7))
+SELECT doc_id, f.section AS section, f.name AS name, f.value AS value, f.start::INT AS start, f.flag AS flag,
+  coalesce(f.status, CASE WHEN f.value IS NULL THEN 'not_found' WHEN f.flag = 'ungrounded_value' THEN 'uncertain' ELSE 'found' END) AS status FROM f""")
+def answer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved answers about each document, read and grounded in it: direct offsets, recovered ones, values that aren't there."""
+    found = extraction.fields(_parsed(spark, sf_dir), "doc_id")
+    return found.select("doc_id", "section", "name", "value", "status", "start", F.get("flags", F.lit(0)).alias("flag"))
+
+
+@query(_ANSWERED + """,
+g AS (SELECT doc_id, CASE WHEN doc_id % 11 = 7 THEN [['answer', 'missing']] WHEN doc_id % 11 = 5 THEN [['answer', 'unreadable']]
+  ELSE list_concat(CASE WHEN doc_id % 11 = 3 THEN [['sections.education.items[0].institution', 'confidence']] ELSE [] END,
+    CASE WHEN a IS NULL THEN [['sections.education.items[0].institution', 'value'], ['sections.education.items[0].degree_type', 'value'],
+      ['sections.publications.items[0].authors[0]', 'value']] ELSE [] END) END AS r FROM n)
+SELECT doc_id, x[1] AS path, x[2] AS reason FROM (SELECT doc_id, unnest(r) AS x FROM g)""")
+def answer_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the same answers, every breach of the contract with its path; a document has rows here or in answer_fields."""
+    return extraction.faults(extraction.read(_answers(documents(spark, sf_dir).select("doc_id", "text"))), "doc_id")
+
+
+@query()
+def answer_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mentions of the same answers: proposals at every place they hold, detectors, protected fields, each place and type once."""
+    return extraction.mentions(_parsed(spark, sf_dir), "doc_id")
