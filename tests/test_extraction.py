@@ -48,7 +48,7 @@ def plain_at(text, pages, wanted, start, end, low=None, high=None):
 
 def plain_field(text, pages, name, f, low=None, high=None):
     """(name, value, status, start, end, page, flags)"""
-    v = None if f["value"] is None else str(f["value"])
+    v = None if f.get("value") is None else str(f["value"])
     if name in DERIVED:
         return name, v, f["status"], None, None, None, ["controlled_or_derived_value"]
     if f["status"] != "found" or v is None:

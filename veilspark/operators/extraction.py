@@ -6,7 +6,7 @@ lost: its row has rows either in `sections` or in `faults`. What belongs to a do
 its text is needed, without a shuffle; the tables made from it carry no text.
 
 Defined cases: no answer is the fault `answer:missing`, one without a JSON object `answer:unreadable`; a null text
-is an empty one, in which nothing is grounded; a nested value counts as its JSON text; of several answers
+is an empty one, in which nothing is grounded; a key left out is a null; a nested value counts as its JSON text; of several answers
 for a document each is parsed; of a key that an object repeats, the first counts; keys beyond the contract are faults.
 """
 
