@@ -52,8 +52,16 @@ def publish(tables: dict[str, DataFrame], leaks: DataFrame, folder: str) -> None
     for name, table in tables.items():
         write_csv(table, f"{draft}/{name}")
     manifest(spark, draft).write.json(f"{draft}/manifest")
+    _place(spark, draft, folder)
+
+
+def _files(spark: SparkSession, folder: str):  # noqa: ANN202
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _place(spark: SparkSession, draft: str, folder: str) -> None:
+    fs, path = _files(spark, draft)
     old = f"{draft}.old"
     there = fs.exists(path(folder))
     if there and not fs.rename(path(folder), path(old)):
@@ -66,6 +74,28 @@ def publish(tables: dict[str, DataFrame], leaks: DataFrame, folder: str) -> None
         fs.delete(path(old), True)
 
 
+def emit(packages: dict[str, dict[str, DataFrame]], leaks: DataFrame, folder: str) -> None:
+    """Several packages under one folder, each with its manifest: all of them take their place by one rename, or none.
+
+    Nothing is written while a leak is found. Where a table of any package fails, the draft is deleted and what
+    stood in the folder before stays. Beyond that, as `publish`.
+    """
+    spark = leaks.sparkSession
+    if leaks.limit(1).count():
+        raise ValueError("candidate has leaks")
+    draft = f"{folder}.{uuid.uuid4().hex}"
+    fs, path = _files(spark, draft)
+    try:
+        for package, tables in packages.items():
+            for name, table in tables.items():
+                write_csv(table, f"{draft}/{package}/{name}")
+            manifest(spark, f"{draft}/{package}").write.json(f"{draft}/{package}/manifest")
+        _place(spark, draft, folder)
+    except Exception:
+        fs.delete(path(draft), True)
+        raise
+
+
 def changed_files(approved: DataFrame, current: DataFrame) -> DataFrame:
     """Files whose digest is not the approved one: any voids the review."""
     return current.join(approved.select("file", "sha256"), ["file", "sha256"], "left_anti")
