@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilspark.operators import lines
+from veilspark.plans.linkage_queries import QUERIES
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 
@@ -116,3 +117,12 @@ def test_no_words_no_lines(spark):
     docs = spark.createDataFrame([("d", ""), ("e", None), ("f", "one\n\n two  three")], "document_id string, text string")
     got = lines.lines(lines.word_table(docs)).select("document_id", "line", "text", F.col("box.x1").alias("x1")).collect()
     assert sorted(map(tuple, got)) == [("f", 0, "one", 18.0), ("f", 2, "two three", 66.0)]
+
+
+def test_lines_of_texts_need_no_shuffle_of_words(spark):
+    texts = [("a", "Ann  Lee\n\n \t\nann@x.org, été \U0001f600 x"), ("b", ""), ("c", None), ("d", "\n".join(f" w{i}  v" for i in range(130))), ("e", "one\r\ntwo ")]
+    docs = spark.createDataFrame(texts, "document_id string, text string")
+    got, want = lines.printed(docs), lines.lines(lines.word_table(docs))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = QUERIES["line_detections"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "line#" not in "".join(re.findall(r"Exchange hashpartitioning.*", plan))

@@ -44,6 +44,28 @@ def lines(words: DataFrame) -> DataFrame:
     return grouped.select(*LINE, text, S.let(ends, placed).alias("words"), around(F.transform("w", lambda w: w["box"])).alias("box"))
 
 
+def printed(docs: DataFrame, page_lines: int = 60) -> DataFrame:
+    """lines(word_table(docs)) of plain texts (document_id, text), a row a text: only texts are dealt out, never words or their boxes."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = docs.select("document_id", "text").repartition(tasks, "document_id").select("document_id", F.posexplode(F.split("text", "\n")).alias("at", "whole")).where(F.col("whole").rlike(r"\S"))
+    found = each.select("document_id", "at", S.matches(F.col("whole"), r"\S+").alias("w"))
+    y0 = (F.col("at") % page_lines) * 12.0
+
+    def placed(ends: Column) -> Column:
+        def word(w: Column, i: Column) -> Column:
+            end = F.get(ends, i) - 1
+            seen = geometry.box(w["start"] * 6.0, y0, w["end"] * 6.0, y0 + 10.0)
+            return F.struct((end - F.length(w["text"])).alias("start"), end.alias("end"), w["text"].alias("text"), seen.alias("box"))
+
+        return F.transform("w", word)
+
+    ends = S.running(F.transform("w", lambda w: F.length(w["text"]) + 1), lambda a, b: a + b)
+    text = F.array_join(F.transform("w", lambda w: w["text"]), " ").alias("text")
+    whole = geometry.box(F.element_at("w", 1)["start"] * 6.0, y0, F.element_at("w", -1)["end"] * 6.0, y0 + 10.0)
+    page = F.floor(F.col("at") / page_lines).cast("int").alias("page")
+    return found.select("document_id", page, F.lit(0).alias("block"), F.col("at").alias("line"), text, S.let(ends, placed).alias("words"), whole.alias("box"))
+
+
 def around(boxes: Column) -> Column:
     """The box around all boxes of a list that isn't empty."""
     return F.aggregate(boxes, F.get(boxes, F.lit(0)), lambda a, b: geometry.union(a, b))
