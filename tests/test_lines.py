@@ -126,3 +126,24 @@ def test_lines_of_texts_need_no_shuffle_of_words(spark):
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     plan = QUERIES["line_detections"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 1 and "line#" not in "".join(re.findall(r"Exchange hashpartitioning.*", plan))
+
+
+def test_few_runs_are_compared_and_none_better_is_missed(monkeypatch):
+    rng, calls, ratio = random.Random(5), [], difflib.SequenceMatcher
+
+    def counted(*args):
+        calls.append(1)
+        return ratio(*args)
+
+    for trial in range(60):
+        parts = ["".join(rng.choice("abe1") for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(2, 30))]
+        a = "" if trial == 0 else "".join(parts[3:7]).replace("e", "c")
+        least, low, high = rng.choice([0.0, 0.76]), rng.randint(1, 2), min(8, len(parts))
+        scored = [(ratio(None, a, "".join(parts[i : i + n])).ratio(), -n, -i) for n in range(low, high + 1) for i in range(len(parts) - n + 1)]
+        best = max((s for s in scored if s[0] >= least and s[0] > 0), default=None)
+        monkeypatch.setattr(lines, "AT_ONCE", rng.choice([3, 4096]))
+        assert lines._most_similar(a, parts, low, high, least) == (best and (best[0], -best[1], -best[2]))
+    monkeypatch.setattr(lines.difflib, "SequenceMatcher", counted)
+    words = ["".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    assert lines._most_similar("".join(words[50:54]).replace("e", "c"), words, 1, 8, 0.76)[1:] == (4, 50)
+    assert len(calls) < 20

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import difflib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilspark.functions import geometry
 from veilspark.functions import spans as S
 from veilspark.functions.scalars import compact_text
-from veilspark.operators.resolution import similarity
 
 LINE = ["document_id", "page", "block", "line"]
 #: How far from a line a box may be, and how many words a phrase may differ by from the value.
@@ -99,46 +103,85 @@ def _bands(box: Column) -> Column:
     return F.sequence(F.floor(box.y0 / BAND), F.floor(box.y1 / BAND))
 
 
+#: Characters of compact texts, and how many words of a line are counted at once.
+LETTERS, AT_ONCE = b"0123456789abcdefghijklmnopqrstuvwxyz", 4096
+
+
+def _letters(parts: list[str]) -> np.ndarray:
+    """A row for each place between compact words: how often each letter stands before it."""
+    code = np.zeros(256, dtype=np.int64)
+    code[list(LETTERS)] = np.arange(len(LETTERS))
+    word = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    counts = np.bincount(word * len(LETTERS) + code[np.frombuffer("".join(parts).encode(), dtype=np.uint8)], minlength=len(parts) * len(LETTERS))
+    return np.vstack([np.zeros(len(LETTERS), dtype=np.int64), counts.reshape(len(parts), -1).cumsum(axis=0)])
+
+
+def _most_similar(a: str, parts: list[str], low: int, high: int, least: float) -> tuple[float, int, int] | None:
+    """(score, size, start) of the run of low to high compact words most similar to a, then the shortest, then the first.
+
+    Letters in common, wherever they stand, bound a run's ratio from above; runs are compared from the highest bound
+    down, until none that is left can be better.
+    """
+    wanted = _letters([a])[1]
+    bounds, sizes, starts = [], [], []
+    for at in range(0, len(parts), AT_ONCE):
+        before = _letters(parts[at : at + AT_ONCE + high - 1])
+        for size in range(low, high + 1):
+            runs = (before[size:] - before[:-size])[:AT_ONCE]
+            total = len(a) + runs.sum(axis=1)
+            bound = np.where(total == 0, 1.0, 2.0 * np.minimum(runs, wanted).sum(axis=1) / np.maximum(total, 1))
+            able = np.flatnonzero((bound >= least) & (bound > 0))
+            bounds.append(bound[able])
+            sizes.append(np.full(len(able), size))
+            starts.append(able + at)
+    bound, size, start = np.concatenate(bounds), np.concatenate(sizes), np.concatenate(starts)
+    best = None
+    for i in np.lexsort((start, size, -bound)):
+        place = (-int(size[i]), -int(start[i]))
+        if best and (float(bound[i]), *place) < best:
+            break
+        score = difflib.SequenceMatcher(None, a, "".join(parts[start[i] : start[i] + size[i]])).ratio()
+        if score >= least and score > 0 and (best is None or (score, *place) > best):
+            best = (score, *place)
+    return best and (best[0], -best[1], -best[2])
+
+
+@F.pandas_udf(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("size", T.IntegerType()), T.StructField("start", T.IntegerType())]))
+def most_similar(a: pd.Series, parts: pd.Series, low: pd.Series, high: pd.Series, least: pd.Series) -> pd.DataFrame:
+    """_most_similar of each row; parts: compact words with a space between."""
+    found = [_most_similar(x, p.split(" "), i, j, m) or (None, None, None) for x, p, i, j, m in zip(a, parts, low, high, least, strict=True)]
+    return pd.DataFrame(found, columns=["score", "size", "start"]).astype({"score": "float64", "size": "Int32", "start": "Int32"})
+
+
 def phrases(wanted: DataFrame, lines_: DataFrame, least: float = 0.0) -> DataFrame:
     """The run of words of a line most similar to each wanted value, if its similarity is at least `least` and above 0.
 
     wanted: (wanted_id, document_id, page, value, box, max_words). Lines near the box are looked at; where none
     is near, all of the page. A run has FEWER words less to MORE words more than the value. Ties go to the first line,
-    then to fewer words, then to the first place. Lines and boxes meet by page and band, never all with all; lengths
-    that can't reach `least` are dropped before texts are compared.
+    then to fewer words, then to the first place. Lines and boxes meet by page and band, never all with all; of a line's
+    runs only those are compared whose letters allow for a better one than was found.
     """
     near = geometry.box(F.col("box.x0") - NEAR_X, F.col("box.y0") - NEAR_Y, F.col("box.x1") + NEAR_X, F.col("box.y1") + NEAR_Y)
     wanted = wanted.where("trim(value) <> ''").withColumn("near", near)
     slim = lines_.select(*LINE, F.col("box").alias("line_box"), F.transform("words", lambda w: F.struct(w["text"], w["box"])).alias("words"))
     banded = slim.withColumn("band", F.explode(_bands(F.col("line_box"))))
     meets = wanted.withColumn("band", F.explode(_bands(F.col("near")))).join(banded, ["document_id", "page", "band"])
-    meets = meets.where(geometry.intersects(F.col("line_box"), F.col("near"))).drop("band").dropDuplicates(["wanted_id", *LINE])
+    # What shares several bands counts in the first of them.
+    first = F.greatest(F.floor(F.col("line_box.y0") / BAND), F.floor(F.col("near.y0") / BAND))
+    meets = meets.where(geometry.intersects(F.col("line_box"), F.col("near")) & (F.col("band") == first)).drop("band")
     alone = wanted.join(meets.select("wanted_id").distinct(), "wanted_id", "left_anti").join(slim, ["document_id", "page"])
     both = meets.unionByName(alone)
 
     count = F.size(F.filter(F.split(F.trim("value"), r"\s+"), lambda t: t != ""))
     low = F.greatest(F.lit(1), count - FEWER)
     high = F.least(F.size("words"), F.col("max_words"), count + MORE)
-
-    def run(start: Column, size: Column) -> Column:
-        # Words by their place: taking a slice of a long line costs as much as the line.
-        chosen = F.transform(F.sequence(start, start + size - 1), lambda i: F.get(F.col("words"), i))
-        phrase = F.array_join(F.transform(chosen, lambda w: w["text"]), " ")
-        return F.struct(size.alias("size"), start.alias("start"), phrase.alias("phrase"), around(F.transform(chosen, lambda w: w["box"])).alias("box"))
-
-    def runs_of(size: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size("words") - size), lambda start: run(start, size))
-
-    each = both.where(low <= high).withColumn("run", F.explode(F.flatten(F.transform(F.sequence(low, high), runs_of))))
+    # Compact texts have no spaces, so those of words, put together, are those of runs.
+    parts = F.array_join(F.transform("words", lambda w: compact_text(w["text"])), " ")
+    each = both.where(low <= high).withColumn("run", most_similar(compact_text(F.col("value")), parts, low, high, F.lit(float(least))))
+    chosen = F.slice("words", F.col("run.start") + 1, F.col("run.size"))
+    phrase = F.array_join(F.transform(chosen, lambda w: w["text"]), " ").alias("phrase")
     # Lines go no further than here: a row is one run of words.
-    runs = each.select("wanted_id", "block", "line", "run.*", compact_text(F.col("value")).alias("a"))
-    runs = runs.withColumn("b", compact_text(F.col("phrase")))
-    both_lengths = F.length("a") + F.length("b")
-    reach = 2 * F.least(F.length("a"), F.length("b")) >= F.lit(least) * both_lengths
-    # Characters matched in order are no more than half of what both lengths have over the edit distance.
-    edits = F.levenshtein("a", "b") <= (1 - least) * both_lengths + 1e-9
-    near_enough = runs.where(reach).where(edits) if least > 0 else runs
-    scored = near_enough.withColumn("score", similarity("a", "b")).where((F.col("score") > 0) & (F.col("score") >= least))
+    scored = each.where("run.score IS NOT NULL").select("wanted_id", "block", "line", "run.*", phrase, around(F.transform(chosen, lambda w: w["box"])).alias("box"))
     rank = F.struct("score", *[(-F.col(c)).alias(c) for c in ("block", "line", "size", "start")])
     best = scored.groupBy("wanted_id").agg(F.max(F.struct(rank.alias("rank"), "phrase", "box")).alias("best"))
     return best.select("wanted_id", "best.phrase", "best.box", F.col("best.rank.score").alias("score"), (-F.col("best.rank.line")).alias("line"))
