@@ -6,7 +6,7 @@ large component. Of each component of the open edges:
 
 * If no two of its sets of ids can ever be disjoint (at most one cluster has any, or all of them share an id), it
   is one cluster.
-* If it has at most SMALL edges, one task settles it by that loop.
+* If it has at most SMALL edges, one task settles it by that loop, together with others, about AT_ONCE edges in all.
 * Else edges are settled in rounds. An edge can be settled once no earlier edge can still change either of its
   clusters. For a cluster c, its edges are settled in one round, in order, as long as each is the first
   open edge of its other end, no merged end has an earlier edge elsewhere, and the ids of c stay as
@@ -25,6 +25,8 @@ from veilspark.plans.frames import cut
 
 #: Edges of a component that one task may settle.
 SMALL = 20_000
+#: Edges of small components, on average, that one call settles.
+AT_ONCE = 50_000
 #: Rounds before what is left is split into components again.
 ROUNDS = 6
 
@@ -34,34 +36,46 @@ def _none(ids: Column) -> Column:
 
 
 def _loop(rows: pd.DataFrame) -> pd.DataFrame:
-    """The plain loop over one component: rows are edges (o, a, b) and, without b, the ids of clusters."""
-    known = {r.a: set(r.ids) for r in rows[rows["b"].isna()].itertuples()}
-    edges = rows[rows["b"].notna()]
-    top = {v: v for v in [*edges["a"], *edges["b"].astype(edges["a"].dtype)]}
+    """The plain loop over whole components: rows are edges (worse, src, dst, a, b), without ids, and clusters a with their ids.
+
+    Components never touch one another, so one loop in the order of all edges does each as a loop of its own would.
+    """
+    is_edge = rows["ids"].isna()
+    known = {a: set(ids) for a, ids in zip(rows["a"][~is_edge].tolist(), rows["ids"][~is_edge], strict=True)}
+    edges = rows[is_edge].sort_values(["worse", "src", "dst"], kind="stable")
+    top: dict = {}
 
     def find(v):  # noqa: ANN001, ANN202
-        while top[v] != v:
-            top[v] = v = top[top[v]]
+        while (up := top.get(v, v)) != v:
+            top[v] = v = top.get(up, up)
         return v
 
-    for _, a, b in sorted((tuple(o.values()), type(a)(a), type(a)(b)) for o, a, b in zip(edges["o"], edges["a"], edges["b"], strict=True)):
+    for a, b in zip(edges["a"].tolist(), edges["b"].tolist(), strict=True):
         a, b = find(a), find(b)
-        x, y = known.get(a, set()), known.get(b, set())
+        x, y = known.get(a), known.get(b)
         if a != b and not (x and y and x.isdisjoint(y)):
             low, high = min(a, b), max(a, b)
-            top[high], known[low] = low, x | y
-    moved = [(v, find(v)) for v in top if find(v) != v]
+            top[high] = low
+            if x or y:
+                known[low] = (x or set()) | (y or set())
+    moved = [(v, find(v)) for v in list(top)]
     return pd.DataFrame({"old": [v for v, _ in moved], "new": [v for _, v in moved]}, dtype=rows["a"].dtype)
 
 
-def _settled(placed: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
-    """(old, new) of small components: placed edges (component, o, a, b), all members (component, vertex)."""
+def _settled(placed: DataFrame, sets: DataFrame, members: DataFrame, tasks: int) -> DataFrame:
+    """(old, new) of small components: placed edges (component, o, a, b), all members (component, vertex).
+
+    Components are dealt to as many groups as given: a call for each would cost far more than its few edges.
+    """
     kind = dict(placed.dtypes)["a"]
     nothing = F.lit(None).cast("array<string>")
     edges = placed.select("component", "o", "a", "b", nothing.alias("ids"))
     known = members.join(sets, members["vertex"] == sets["cluster"])
-    known = known.select("component", F.lit(None).cast(placed.schema["o"].dataType).alias("o"), F.col("vertex").alias("a"), F.lit(None).cast(kind).alias("b"), "ids")
-    return edges.unionByName(known).groupBy("component").applyInPandas(_loop, f"old {kind}, new {kind}")
+    known = known.select("component", F.lit(None).cast(placed.schema["o"].dataType).alias("o"), F.col("vertex").alias("a"), F.col("vertex").alias("b"), "ids")
+    dealt = edges.unionByName(known).withColumn("group", F.pmod(F.xxhash64("component"), F.lit(tasks)))
+    # A cluster's row has no edge; its id stands in for src and dst, as a null would turn whole numbers into floats.
+    flat = dealt.select("group", "o.worse", F.coalesce("o.src", "a").alias("src"), F.coalesce("o.dst", "a").alias("dst"), "a", "b", "ids")
+    return flat.groupBy("group").applyInPandas(_loop, f"old {kind}, new {kind}")
 
 
 def _round(edges: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -122,10 +136,12 @@ def constrained_components(evidence: DataFrame, unique_ids: DataFrame, party: st
         kinds = kinds.join(named.groupBy("component").agg(F.count(F.lit(1)).alias("named")), "component", "left")
         kinds = kinds.join(shared.groupBy("component").agg(F.max("n").alias("shared")), "component", "left")
         free = (F.coalesce("named", F.lit(0)) <= 1) | (F.col("named") == F.col("shared"))
-        kinds = cut(kinds.select("component", F.when(free, "free").when(F.col("edges") <= small, "small").otherwise("large").alias("kind")))
+        kinds = cut(kinds.select("component", "edges", F.when(free, "free").when(F.col("edges") <= small, "small").otherwise("large").alias("kind")))
+        n = kinds.where("kind = 'small'").agg(F.sum("edges")).first()[0] or 0
+        kinds = kinds.drop("edges")
         placed, members = placed.join(kinds, "component"), members.join(kinds, "component")
         whole = members.where("kind = 'free'").select(F.col("vertex").alias("old"), F.col("component").alias("new"))
-        settled = _settled(placed.where("kind = 'small'"), sets, members.where("kind = 'small'").select("component", "vertex"))
+        settled = _settled(placed.where("kind = 'small'"), sets, members.where("kind = 'small'").select("component", "vertex"), n // AT_ONCE + 1)
         steps.append(cut(whole.where("old <> new").unionByName(settled)))
         edges = cut(placed.where("kind = 'large'").select("o", "a", "b"))
         for _ in range(ROUNDS):
