@@ -53,20 +53,84 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-def name_pairs(names: DataFrame, party: str, name: str) -> DataFrame:
-    """Pairs of parties with similar names: blocked by surname and initial, so only such pairs are compared.
+def _allowed(total: Column) -> Column:
+    """Characters of two names that may be left unmatched, by the sum of their lengths."""
+    return F.floor((1 - FUZZY_RATIO) * total + 1e-9).cast("int")
+
+
+def _edits(size: Column) -> Column:
+    """The most that may be left unmatched in a pair of a name of this length and one that is not shorter."""
+    share = 1 - FUZZY_RATIO
+    return _allowed(2 * size + F.floor(2 * share / (1 - share) * size + 1e-9))
+
+
+def _keyed(names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, name) of names (name, surname, initial, inner) as the longer of a pair, and as the other one; inner is the
+    name without what all names of its surname and initial begin and end with.
 
-    Equal names meet through their distinct value, so a common name costs no pairs of its own.
+    Each similar pair has a key in common. Where the longer name loses one character, that is its inner part without
+    it: the other one's inner part, or that with one character left out too. Where it loses more, the shorter inner part
+    is cut into more pieces than there can be edits, so one of them stands whole somewhere in the longer one.
     """
-    keyed = names.select(party, F.col(name).alias("name")).where("name <> ''")
-    distinct = keyed.select("name").distinct().withColumns({k: name_parts(F.col("name"))[k] for k in ("surname", "initial")})
-    left, right = distinct.withColumnRenamed("name", "left_name"), distinct.withColumnRenamed("name", "right_name")
-    pairs = left.join(right, ["surname", "initial"]).where("left_name < right_name AND surname <> ''")
+    size, width = F.length("name"), F.length("inner")
+
+    def key(kind: str, text: Column) -> Column:
+        return F.xxhash64("surname", "initial", F.lit(kind), text)
+
+    def each(count: Column, f) -> Column:
+        return F.transform(F.slice(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), F.lit(1), F.greatest(count, F.lit(0))), f)
+
+    def where(test: Column, keys: Column) -> Column:
+        return F.when(test, keys).otherwise(F.array().cast("array<bigint>"))
+
+    whole = F.array(key("whole", F.col("inner")))
+    without = each(width, lambda i: key("whole", F.concat(F.substring("inner", F.lit(1), i), F.substring("inner", i + 2, width))))
+    share = 1 - FUZZY_RATIO
+    least = size - F.floor(2 * share / (1 + share) * size + 1e-9).cast("int")  # of the shortest name that may be similar
+    pieces = F.array_distinct(F.transform(F.sequence(least, size), lambda n: _piece(n, n - size + width)))
+    inside = F.flatten(F.transform(pieces, lambda q: each(width - q + 1, lambda i: key("piece", F.substring("inner", i + 1, q)))))
+    piece = _piece(size, width)
+    cut_up = each(F.when(piece > 0, _edits(size) + 1).otherwise(1), lambda i: key("piece", F.substring("inner", i * piece + 1, piece)))
+    longer = F.concat(where(_allowed(2 * size - 1) >= 1, without), where(_allowed(2 * size - 2) >= 2, inside))
+    other = F.concat(where(_allowed(2 * size + 1) >= 1, whole), where(_allowed(2 * size) >= 2, without), where(_allowed(2 * size + 2) >= 2, cut_up))
+    return tuple(names.select(F.explode(F.array_distinct(keys)).alias("key"), "name") for keys in (longer, other))
+
+
+def _piece(size: Column, width: Column) -> Column:
+    """Length of each piece of an inner part of this width, of a name of this length; 0 where there are more edits than characters."""
+    return F.floor(F.greatest(width, F.lit(0)) / (_edits(size) + 1)).cast("int")
+
+
+def _candidates(names: DataFrame) -> DataFrame:
+    """Pairs (left_name, right_name) of names (name, surname, initial, inner) that share a key and have few enough edits."""
+    longer, other = _keyed(names)
+    long_, short = F.length("long"), F.length("short")
+    pairs = longer.withColumnRenamed("name", "long").join(other.withColumnRenamed("name", "short"), "key")
     # A ratio of at least FUZZY_RATIO bounds how far lengths may differ.
-    size = 2 * F.least(F.length("left_name"), F.length("right_name")) >= FUZZY_RATIO * (F.length("left_name") + F.length("right_name"))
+    pairs = pairs.where((F.col("long") != F.col("short")) & (long_ >= short) & (long_ - short <= _allowed(long_ + short)))
     # As many edits as characters may be left unmatched: what has more cannot reach the ratio.
-    edits = F.levenshtein("left_name", "right_name") <= (1 - FUZZY_RATIO) * (F.length("left_name") + F.length("right_name")) + 1e-9
-    return pairs.where(size).where(edits).withColumn("ratio", similarity("left_name", "right_name")).where(F.col("ratio") >= FUZZY_RATIO)
+    pairs = pairs.where(F.levenshtein("long", "short") <= _allowed(long_ + short))
+    return pairs.select(F.least("long", "short").alias("left_name"), F.greatest("long", "short").alias("right_name"))
+
+
+def name_pairs(names: DataFrame, party: str, name: str) -> DataFrame:
+    """Pairs of distinct names of parties that are similar and have surname and initial in common.
+
+    Only names that share a key of `_keyed` are compared, so a frequent surname costs no comparison of all its names.
+    """
+    parts = {k: name_parts(F.col("name"))[k] for k in ("surname", "initial")}
+    distinct = cut(names.select(F.col(name).alias("name")).where("name <> ''").distinct().withColumns(parts).where("surname <> ''"))
+    plain = F.startswith("name", "initial") & F.endswith("name", F.concat(F.lit(" "), "surname")) & (F.length("name") >= F.length("surname") + 2)
+    inner = F.substring("name", F.lit(2), F.length("name") - F.length("surname") - 2)
+    pairs = _candidates(distinct.where(plain).withColumn("inner", inner))
+    odd = distinct.where(~plain)
+    if not odd.isEmpty():  # names of one word, or with commas: theirs and others of such blocks meet as they stand
+        blocks = odd.select("surname", "initial").distinct()
+        pairs = pairs.unionByName(_candidates(distinct.join(blocks, ["surname", "initial"], "left_semi").withColumn("inner", F.col("name"))))
+    left, right = name_parts(F.col("left_name")), name_parts(F.col("right_name"))
+    pairs = pairs.where(left == right).distinct()  # keys are digests
+    found = pairs.withColumn("ratio", similarity("left_name", "right_name")).where(F.col("ratio") >= FUZZY_RATIO)
+    return found.select(left["surname"].alias("surname"), left["initial"].alias("initial"), "left_name", "right_name", "ratio")
 
 
 def auto_eligible(kind: Column, value: Column) -> Column:
