@@ -66,3 +66,10 @@ def test_a_frequent_surname_costs_no_comparison_of_all_its_names(spark):
     longer, other = resolution._keyed(keyed.withColumn("inner", F.expr("substring(name, 2, length(name) - 5)")))
     assert longer.count() + other.count() < 60 * len(names)
     assert longer.withColumnRenamed("name", "long").join(other, "key").where("long <> name").count() < 20 * len(names)
+
+
+def test_parties_without_support_tie_nobody(spark):
+    ids = [(1, "person_name", "alexandra whitmore"), (2, "person_name", "alexandrea whitmore"), (3, "person_name", "alexandrea whitmore"), (4, "person_name", "alexandraa whitmore")]
+    ids += [(1, "website", "a.org/x"), (2, "website", "a.org/x"), (3, "website", "b.org/x"), (2, "phone_number", "0123456789")]
+    rows = spark.createDataFrame(ids, "p long, identifier_type string, normalized_value string")
+    assert [(r.src, r.dst) for r in resolution.fuzzy_evidence(rows, "p").collect()] == [(1, 2)]

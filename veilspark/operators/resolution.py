@@ -159,11 +159,12 @@ def fuzzy_evidence(ids: DataFrame, party: str) -> DataFrame:
     support = ids.where("identifier_type IN ('phone_number', 'website')").select(party, "identifier_type", "normalized_value").distinct()
     held = cut(names.join(support, party))
     shared = ["identifier_type", "normalized_value"]
-    least = held.groupBy(*shared, "name").agg(F.min(party).alias("least"))
-    pairs = cut(name_pairs(names, party, "name").select("left_name", "right_name"))
+    pairs = cut(name_pairs(held, party, "name").select("left_name", "right_name"))
     both = pairs.unionByName(pairs.select(F.col("right_name").alias("left_name"), F.col("left_name").alias("right_name")))
-    ends = held.join(both, F.col("name") == F.col("left_name")).drop("name", "left_name")
-    tied = ends.join(least.withColumnRenamed("name", "right_name"), [*shared, "right_name"]).where(F.col(party) != F.col("least"))
+    least = held.groupBy(*shared, "name").agg(F.min(party).alias("least"))
+    # Before they meet the parties: the least party of the similar name, for each value that holds one.
+    targets = least.join(both, F.col("name") == F.col("right_name")).select(*shared, F.col("left_name").alias("name"), "least")
+    tied = held.join(targets, [*shared, "name"]).where(F.col(party) != F.col("least"))
     return tied.select(
         F.least(party, "least").alias("src"), F.greatest(party, "least").alias("dst"),
         F.lit(FUZZY_CONFIDENCE).alias("confidence"), F.lit("fuzzy_name").alias("kind"),
