@@ -109,7 +109,8 @@ def _candidates(names: DataFrame) -> DataFrame:
     # A ratio of at least FUZZY_RATIO bounds how far lengths may differ.
     pairs = pairs.where((F.col("long") != F.col("short")) & (long_ >= short) & (long_ - short <= _allowed(long_ + short)))
     # As many edits as characters may be left unmatched: what has more cannot reach the ratio.
-    pairs = pairs.where(F.levenshtein("long", "short") <= _allowed(long_ + short))
+    # Long names share many keys; they are compared once, by their ratio, and not for each key.
+    pairs = pairs.where((long_ > 64) | (F.levenshtein("long", "short") <= _allowed(long_ + short)))
     return pairs.select(F.least("long", "short").alias("left_name"), F.greatest("long", "short").alias("right_name"))
 
 
