@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from veilspark.functions import geometry
 from veilspark.functions import spans as S
 from veilspark.functions.scalars import compact_text
+from veilspark.plans.frames import cut, small_side
 
 LINE = ["document_id", "page", "block", "line"]
 #: How far from a line a box may be, and how many words a phrase may differ by from the value.
@@ -48,10 +49,27 @@ def lines(words: DataFrame) -> DataFrame:
     return grouped.select(*LINE, text, S.let(ends, placed).alias("words"), around(F.transform("w", lambda w: w["box"])).alias("box"))
 
 
+def _filled(docs: DataFrame) -> DataFrame:
+    """Lines with a word (document_id, at, whole) of plain texts (document_id, text), a row a text: only texts are dealt out, by document."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = docs.select("document_id", "text").repartition(tasks, "document_id").select("document_id", F.posexplode(F.split("text", "\n")).alias("at", "whole"))
+    return each.where(F.col("whole").rlike(r"\S"))
+
+
+def printed_texts(docs: DataFrame, page_lines: int = 60) -> DataFrame:
+    """printed(docs) with `texts`, what its words are, for the words with their places and boxes, which cost many times as much."""
+    y0 = (F.col("at") % page_lines) * 12.0
+    space = F.lit(" \t\x0b\f\r")  # what \s matches, but for the end of a line
+    x0, x1 = F.length("whole") - F.length(F.ltrim("whole", space)), F.length(F.rtrim("whole", space))
+    return _filled(docs).select(
+        "document_id", F.floor(F.col("at") / page_lines).cast("int").alias("page"), F.lit(0).alias("block"), F.col("at").alias("line"),
+        F.regexp_extract_all("whole", F.lit(r"\S+"), F.lit(0)).alias("texts"), geometry.box(x0 * 6.0, y0, x1 * 6.0, y0 + 10.0).alias("box"),
+    )
+
+
 def printed(docs: DataFrame, page_lines: int = 60) -> DataFrame:
     """lines(word_table(docs)) of plain texts (document_id, text), a row a text: only texts are dealt out, never words or their boxes."""
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = docs.select("document_id", "text").repartition(tasks, "document_id").select("document_id", F.posexplode(F.split("text", "\n")).alias("at", "whole")).where(F.col("whole").rlike(r"\S"))
+    each = _filled(docs)
     found = each.select("document_id", "at", S.matches(F.col("whole"), r"\S+").alias("w"))
     y0 = (F.col("at") % page_lines) * 12.0
 
@@ -103,88 +121,164 @@ def _bands(box: Column) -> Column:
     return F.sequence(F.floor(box.y0 / BAND), F.floor(box.y1 / BAND))
 
 
-#: Characters of compact texts, and how many words of a line are counted at once.
-LETTERS, AT_ONCE = b"0123456789abcdefghijklmnopqrstuvwxyz", 4096
+#: Characters of compact texts; at how many words runs begin that are counted at once; words held at once, but for a longer line.
+LETTERS, AT_ONCE, MOST_AT_ONCE = b"0123456789abcdefghijklmnopqrstuvwxyz", 8192, 1 << 18
+_CODE = np.full(256, 255, dtype=np.uint8)
+_CODE[list(LETTERS)] = np.arange(len(LETTERS))
+_CODE[list(LETTERS.upper())] = np.arange(len(LETTERS))
+#: The two other characters whose lower case holds a letter: their last byte, those before it, the letter.
+_ODD = [(0xB0, b"\xc4", b"i"), (0xAA, b"\xe2\x84", b"k")]
+
 
+def _compact(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """compact_text of many texts (UTF-8 bytes, and where each begins and ends) as numbers of LETTERS, and where each begins and ends in them."""
+    code = _CODE[data]
+    for last, before, letter in _ODD:
+        at = np.flatnonzero(data == last)
+        at = at[at >= len(before)]
+        for k, byte in enumerate(before):
+            at = at[data[at - len(before) + k] == byte]
+        code[at] = LETTERS.index(letter)
+    kept = np.flatnonzero(code < 255)
+    return code[kept], np.searchsorted(kept, ends)
 
-def _letters(parts: list[str]) -> np.ndarray:
+
+def _letters(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A row for each place between compact words: how often each letter stands before it."""
-    code = np.zeros(256, dtype=np.int64)
-    code[list(LETTERS)] = np.arange(len(LETTERS))
-    word = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    counts = np.bincount(word * len(LETTERS) + code[np.frombuffer("".join(parts).encode(), dtype=np.uint8)], minlength=len(parts) * len(LETTERS))
-    return np.vstack([np.zeros(len(LETTERS), dtype=np.int64), counts.reshape(len(parts), -1).cumsum(axis=0)])
+    word = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    counts = np.bincount(word * len(LETTERS) + codes, minlength=(len(ends) - 1) * len(LETTERS)).reshape(-1, len(LETTERS))
+    before = np.zeros((len(ends), len(LETTERS)), dtype=np.int32)
+    np.cumsum(counts, axis=0, out=before[1:])
+    return before
 
 
-def _most_similar(a: str, parts: list[str], low: int, high: int, least: float) -> tuple[float, int, int] | None:
-    """(score, size, start) of the run of low to high compact words most similar to a, then the shortest, then the first.
+def _ratio(common: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """SequenceMatcher's ratio of texts with `common` matching characters of `total`."""
+    return np.where(total == 0, 1.0, 2.0 * common / np.maximum(total, 1))
+
+
+def _best_runs(values: list[str], codes: np.ndarray, ends: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray, least: float) -> list[tuple[float, int, int] | None]:
+    """For each compact value (score, size, start) of the run of low to high compact words of its line most similar to it, then the shortest, then the first.
 
-    Letters in common, wherever they stand, bound a run's ratio from above; runs are compared from the highest bound
-    down, until none that is left can be better.
+    codes, ends: the words of all lines and their ends, from 0; first: where each value's line begins among them, and the end.
+    The length of a run, then letters in common, wherever they stand, bound its ratio from above. Runs are taken from the
+    likeliest size on, of a size from the highest bound down, and compared only where the bound allows for a better one.
     """
-    wanted = _letters([a])[1]
-    bounds, sizes, starts = [], [], []
-    for at in range(0, len(parts), AT_ONCE):
-        before = _letters(parts[at : at + AT_ONCE + high - 1])
-        for size in range(low, high + 1):
-            runs = (before[size:] - before[:-size])[:AT_ONCE]
-            total = len(a) + runs.sum(axis=1)
-            bound = np.where(total == 0, 1.0, 2.0 * np.minimum(runs, wanted).sum(axis=1) / np.maximum(total, 1))
-            able = np.flatnonzero((bound >= least) & (bound > 0))
-            bounds.append(bound[able])
-            sizes.append(np.full(len(able), size))
-            starts.append(able + at)
-    bound, size, start = np.concatenate(bounds), np.concatenate(sizes), np.concatenate(starts)
-    best = None
-    for i in np.lexsort((start, size, -bound)):
-        place = (-int(size[i]), -int(start[i]))
-        if best and (float(bound[i]), *place) < best:
-            break
-        score = difflib.SequenceMatcher(None, a, "".join(parts[start[i] : start[i] + size[i]])).ratio()
-        if score >= least and score > 0 and (best is None or (score, *place) > best):
-            best = (score, *place)
-    return best and (best[0], -best[1], -best[2])
-
-
-@F.pandas_udf(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("size", T.IntegerType()), T.StructField("start", T.IntegerType())]))
-def most_similar(a: pd.Series, parts: pd.Series, low: pd.Series, high: pd.Series, least: pd.Series) -> pd.DataFrame:
-    """_most_similar of each row; parts: compact words with a space between."""
-    found = [_most_similar(x, p.split(" "), i, j, m) or (None, None, None) for x, p, i, j, m in zip(a, parts, low, high, least, strict=True)]
-    return pd.DataFrame(found, columns=["score", "size", "start"]).astype({"score": "float64", "size": "Int32", "start": "Int32"})
+    text = np.frombuffer(LETTERS, dtype=np.uint8)[codes].tobytes().decode()
+    length = np.array([len(v) for v in values], dtype=np.int64)
+    data = np.frombuffer("".join(values).encode(), dtype=np.uint8)
+    wanted = np.diff(_letters(_CODE[data], np.concatenate([[0], length.cumsum()])), axis=0)
+    row = np.repeat(np.arange(len(values)), np.diff(first))
+    likely = np.minimum(low + FEWER, high)
+    best: list[tuple[float, int, int] | None] = [None] * len(values)
+    floor = np.full(len(values), float(least))
+    for at in range(0, len(row), AT_ONCE):
+        owner = row[at : at + AT_ONCE]
+        mine = slice(owner[0], owner[-1] + 1)
+        here = ends[at : at + AT_ONCE + max(int(high[mine].max()), 0)]
+        before = _letters(codes[here[0] : here[-1]], here - here[0])
+        last, value_length = first[owner + 1] - at, length[owner]
+        usual, fewest, most = likely[owner], low[owner], high[owner]
+        for more in sorted(range(int((low - likely)[mine].min()), int((high - likely)[mine].max()) + 1), key=abs):
+            size = usual + more
+            start = np.flatnonzero((size >= fewest) & (size <= most) & (np.arange(len(owner)) + size <= last))
+            end, lengths = start + size[start], value_length[start]
+            run = here[end] - here[start]
+            able = _ratio(np.minimum(run, lengths), run + lengths) >= np.maximum(floor[owner[start]], 1e-9)
+            start, end, total = start[able], end[able], (run + lengths)[able]
+            common = np.minimum(before[end] - before[start], wanted[owner[start]]).sum(axis=1)
+            bound = _ratio(common, total)
+            able = np.flatnonzero(bound >= np.maximum(floor[owner[start]], 1e-9))
+            order = able[np.lexsort((start[able], -bound[able], owner[start[able]]))]
+            start, end = start[order], end[order]
+            for k, s, e, b in zip(owner[start].tolist(), (start + at).tolist(), (end + at).tolist(), bound[order].tolist(), strict=True):
+                known, place = best[k], (s - e, int(first[k]) - s)
+                if known and (b, *place) < known:
+                    continue
+                score = difflib.SequenceMatcher(None, values[k], text[ends[s] : ends[e]]).ratio()
+                if score >= least and score > 0 and (known is None or (score, *place) > known):
+                    best[k], floor[k] = (score, *place), score
+    return [b and (b[0], -b[1], -b[2]) for b in best]
+
+
+def _most_similar(a: str, parts: list[str], low: int, high: int, least: float) -> tuple[float, int, int] | None:
+    """_best_runs of one compact value and one line of compact words."""
+    codes, ends = _compact(np.frombuffer("".join(parts).encode(), dtype=np.uint8), np.cumsum([0, *map(len, parts)]))
+    return _best_runs([a], codes, ends, np.array([0, len(parts)]), np.array([low]), np.array([high]), least)[0]
+
+
+@F.arrow_udf(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("size", T.IntegerType()), T.StructField("start", T.IntegerType())]))
+def most_similar(value: pa.Array, texts: pa.Array, low: pa.Array, high: pa.Array, least: pa.Array) -> pa.Array:
+    """_best_runs of compact values and the words of a line each; null where there is no line or no size is allowed."""
+    asked = np.flatnonzero((low.fill_null(1).to_numpy() <= high.fill_null(0).to_numpy()) & texts.is_valid().to_numpy(zero_copy_only=False))
+    found: list[tuple[float, int, int] | None] = [None] * len(value)
+    held = texts.value_lengths().fill_null(0).to_numpy().cumsum() // MOST_AT_ONCE
+    for some in np.split(asked, np.flatnonzero(np.diff(held[asked])) + 1) if len(asked) else []:
+        at = pa.array(some)
+        rows = texts.take(at)
+        words = rows.flatten().cast(pa.large_string()).fill_null("")
+        _, places, data = words.buffers()
+        ends = np.frombuffer(places, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+        codes, ends = _compact(np.frombuffer(data or b"", dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0])
+        first = np.concatenate([[0], rows.value_lengths().to_numpy().cumsum()]).astype(np.int64)
+        numbers = [x.take(at).to_numpy().astype(np.int64) for x in (low, high)]
+        for k, best in zip(some.tolist(), _best_runs(value.take(at).to_pylist(), codes, ends, first, *numbers, least[0].as_py()), strict=True):
+            found[k] = best
+    columns = [pa.array([b and b[i] for b in found], t) for i, t in enumerate((pa.float64(), pa.int32(), pa.int32()))]
+    return pa.StructArray.from_arrays(columns, ["score", "size", "start"])
 
 
 def phrases(wanted: DataFrame, lines_: DataFrame, least: float = 0.0) -> DataFrame:
     """The run of words of a line most similar to each wanted value, if its similarity is at least `least` and above 0.
 
-    wanted: (wanted_id, document_id, page, value, box, max_words). Lines near the box are looked at; where none
-    is near, all of the page. A run has FEWER words less to MORE words more than the value. Ties go to the first line,
-    then to fewer words, then to the first place. Lines and boxes meet by page and band, never all with all; of a line's
-    runs only those are compared whose letters allow for a better one than was found.
+    wanted: (wanted_id, document_id, page, value, box, max_words); lines_: of lines(), or of printed_texts(), whose words have
+    no boxes, nor then have phrases. Lines near the box are looked at; where none is near, all of the page. A run has FEWER
+    words less to MORE words more than the value. Ties go to the first line, then to fewer words, then to the first place.
+    Lines and boxes meet by page and band, never all with all, without a shuffle where both are dealt out by document alike.
+    Of a line's runs only those are compared whose letters allow for a better one than was found. What is best near the
+    boxes is written as a table, and lines are read again only if some box has none near.
     """
     near = geometry.box(F.col("box.x0") - NEAR_X, F.col("box.y0") - NEAR_Y, F.col("box.x1") + NEAR_X, F.col("box.y1") + NEAR_Y)
-    wanted = wanted.where("trim(value) <> ''").withColumn("near", near)
-    slim = lines_.select(*LINE, F.col("box").alias("line_box"), F.transform("words", lambda w: F.struct(w["text"], w["box"])).alias("words"))
+    # Without a document there is no line. Lines get the same filter from the join, so what both are made from is read once.
+    wanted = wanted.where("trim(value) <> '' AND document_id IS NOT NULL").withColumn("near", near)
+    texts = F.col("texts") if "texts" in lines_.columns else F.transform("words", lambda w: w["text"])
+    boxes = F.transform("words", lambda w: w["box"]) if "words" in lines_.columns else F.lit(None).cast("array<struct<x0:double,y0:double,x1:double,y1:double>>")
+    slim = lines_.select(*LINE, F.col("box").alias("line_box"), texts.alias("texts"), boxes.alias("boxes"))
     banded = slim.withColumn("band", F.explode(_bands(F.col("line_box"))))
-    meets = wanted.withColumn("band", F.explode(_bands(F.col("near")))).join(banded, ["document_id", "page", "band"])
+    w, b = wanted.withColumn("band", F.explode_outer(_bands(F.col("near")))).alias("w"), banded.alias("b")
     # What shares several bands counts in the first of them.
     first = F.greatest(F.floor(F.col("line_box.y0") / BAND), F.floor(F.col("near.y0") / BAND))
-    meets = meets.where(geometry.intersects(F.col("line_box"), F.col("near")) & (F.col("band") == first)).drop("band")
-    alone = wanted.join(meets.select("wanted_id").distinct(), "wanted_id", "left_anti").join(slim, ["document_id", "page"])
-    both = meets.unionByName(alone)
-
+    same = [F.col(f"w.{c}") == F.col(f"b.{c}") for c in ("document_id", "page", "band")]
+    by_band = geometry.intersects(F.col("line_box"), F.col("near")) & (F.col("w.band") == first)
+    columns = ["wanted_id", "value", "max_words", "block", "line", "texts", "boxes"]
+    # What is dealt out by document is so by page and band too; Spark would else shuffle all words once more.
+    conf, key = lines_.sparkSession.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    found = conf.get(key)
+    conf.set(key, "false")
+    try:
+        best = cut(_best(w.join(b, [*same, by_band], "left").select(*columns), least))
+    finally:
+        conf.set(key, found)
+    alone = best.where("NOT met").select(F.col("wanted_id").alias("id"))
+    if not alone.isEmpty():
+        rest = small_side(cut(wanted.join(alone, F.col("wanted_id").eqNullSafe(F.col("id")), "left_semi")))
+        best = best.where("met").unionByName(_best(rest.join(slim, ["document_id", "page"]).select(*columns), least))
+    return best.where("best IS NOT NULL").select("wanted_id", "best.phrase", "best.box", F.col("best.rank.score").alias("score"), (-F.col("best.rank.line")).alias("line"))
+
+
+def _best(both: DataFrame, least: float) -> DataFrame:
+    """For each wanted_id whether it has a line (met), and the best of its runs of words or null."""
     count = F.size(F.filter(F.split(F.trim("value"), r"\s+"), lambda t: t != ""))
     low = F.greatest(F.lit(1), count - FEWER)
-    high = F.least(F.size("words"), F.col("max_words"), count + MORE)
-    # Compact texts have no spaces, so those of words, put together, are those of runs.
-    parts = F.array_join(F.transform("words", lambda w: compact_text(w["text"])), " ")
-    each = both.where(low <= high).withColumn("run", most_similar(compact_text(F.col("value")), parts, low, high, F.lit(float(least))))
-    chosen = F.slice("words", F.col("run.start") + 1, F.col("run.size"))
-    phrase = F.array_join(F.transform(chosen, lambda w: w["text"]), " ").alias("phrase")
+    high = F.least(F.size("texts"), F.col("max_words"), count + MORE)
+    each = both.withColumn("run", most_similar(compact_text(F.col("value")), "texts", low, high, F.lit(float(least))))
+    place = [F.col("run.start") + 1, F.col("run.size")]
+    phrase = F.array_join(F.slice("texts", *place), " ")
+    rank = F.struct("run.score", *[(-F.col(c)).alias(c.rpartition(".")[2]) for c in ("block", "line", "run.size", "run.start")])
+    one = F.struct(rank.alias("rank"), phrase.alias("phrase"), around(F.slice("boxes", *place)).alias("box"))
     # Lines go no further than here: a row is one run of words.
-    scored = each.where("run.score IS NOT NULL").select("wanted_id", "block", "line", "run.*", phrase, around(F.transform(chosen, lambda w: w["box"])).alias("box"))
-    rank = F.struct("score", *[(-F.col(c)).alias(c) for c in ("block", "line", "size", "start")])
-    best = scored.groupBy("wanted_id").agg(F.max(F.struct(rank.alias("rank"), "phrase", "box")).alias("best"))
-    return best.select("wanted_id", "best.phrase", "best.box", F.col("best.rank.score").alias("score"), (-F.col("best.rank.line")).alias("line"))
+    scored = each.select("wanted_id", F.col("line").isNotNull().alias("met"), F.when(F.col("run.score").isNotNull(), one).alias("one"))
+    return scored.groupBy("wanted_id").agg(F.max("met").alias("met"), F.max("one").alias("best"))
 
 
 # Least similarities by kind, the largest share of a page a box may cover, words that name no person.
